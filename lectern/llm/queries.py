@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import canonical, lines, splitting, survivorship
+from lectern.llm import canonical, lines, spans, splitting, survivorship
 from lectern.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, base: str) -> DataFrame:
+    return spans.shared_spans(table(spark, base, "sections"))
+
+
+def p1_share(spark: SparkSession, base: str) -> DataFrame:
+    """How much of each section is shared elsewhere."""
+    sections = table(spark, base, "sections")
+    return spans.shared_share(sections, spans.shared_spans(sections))
+
+
 def p2_found(spark: SparkSession, base: str) -> DataFrame:
     return lines.repeated_lines(table(spark, base, "sections"))
 
