@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import canonical, lines, spans, splitting, survivorship
+from lectern.llm import canonical, lines, near, spans, splitting, survivorship
 from lectern.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def p3_found(spark: SparkSession, base: str) -> DataFrame:
     return survivorship.survivors(table(spark, base, "sections"), table(spark, base, "imprints"))
 
 
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return near.near_pairs(table(spark, base, "sections"))
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return canonical.uncommon_fields(table(spark, base, "sections")).select("id", "field").distinct()
 
