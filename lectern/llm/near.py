@@ -13,7 +13,8 @@
    similarity. A round spreads the shingles over bins, which gives a minimum
    per bin for one draw per shingle; an empty bin takes another bin's minimum,
    chosen by a hash of its number.
-4. Bands of minima are joined; equal bands make a candidate.
+4. Bands of minima are joined; equal bands make a candidate, which must also
+   agree in a sketch of all minima.
 5. Candidates are verified with the shingles of both whole texts.
 
 With 42 bands of 3 minima, a pair at a weighted similarity of 0.5 is missed
@@ -38,6 +39,8 @@ from lectern.session import materialize
 SHINGLE, LEAST_CHARS, THRESHOLD = 5, 40, 0.55
 BANDS, WIDTH, ROUNDS = 42, 3, 6
 BINS = BANDS * WIDTH // ROUNDS
+#: Of the 126 bits of two sketches, so many agree at least; at a weighted similarity of 0.5 they do but for one pair in 400,000.
+LEAST_BITS = 72
 #: Cells of the table of document frequencies: 4 MB, whatever the corpus.
 CELLS, PART = 1 << 20, 1 << 16
 _APART = re.compile(r"[\W_]+")
@@ -49,17 +52,13 @@ def letters_and_digits(text: str) -> str:
     return _APART.sub("", unicodedata.normalize("NFKC", text))
 
 
-def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """``(text, shingle)`` of the distinct shingles of each text, sorted by text."""
+def shingles_of(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, shingle)`` of all shingles of all texts, in the order of the texts."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     grams = Rolling(code_points(texts)).grams(size)
     text = np.repeat(np.arange(len(texts)), lengths)[: len(grams)]
     inside = np.arange(len(grams)) + size <= np.repeat(np.cumsum(lengths), lengths)[: len(grams)]
-    text, grams = text[inside], grams[inside]
-    order = np.lexsort((grams, text))
-    text, grams = text[order], grams[order]
-    new = np.r_[True, (text[1:] != text[:-1]) | (grams[1:] != grams[:-1])] if len(text) else np.zeros(0, bool)
-    return text[new], grams[new]
+    return text[inside], grams[inside]
 
 
 def cells_of(grams: np.ndarray) -> np.ndarray:
@@ -116,6 +115,14 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One bit of each minimum, in two longs: equal minima agree, others by chance in half of the bits."""
+    bits = (signature & np.uint32(1)).astype(np.uint64)
+    half = bits.shape[1] // 2
+    weights = _U(1) << np.arange(half, dtype=np.uint64)
+    return (bits[:, :half] * weights).sum(axis=1, dtype=np.uint64).view(np.int64), (bits[:, half:] * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
 def _normed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [letters_and_digits(t) for t in batch.column(1).to_pylist()]
@@ -130,7 +137,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for a, b in chunks(texts):
-            counts += np.bincount(cells_of(shingle_sets(texts[a:b])[1]), minlength=CELLS)
+            text, grams = shingles_of(texts[a:b])
+            once = np.unique(text * CELLS + cells_of(grams))  # a text counts once for a cell
+            counts += np.bincount(once % CELLS, minlength=CELLS)
     for part in range(CELLS // PART):
         cells = counts[part * PART : (part + 1) * PART]
         if cells.any():
@@ -173,14 +182,16 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool =
     normed = materialize(texts.mapInArrow(_normed, "id string, doc bigint, text string"), "normed")
     weights = spark.sparkContext.broadcast(inverse_frequencies(document_frequencies(normed)))
 
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unique = {d: t for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)}
+            unique = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             ids, values = np.array(list(unique), np.int64), list(unique.values())
             for a, b in chunks(values):
-                text, grams = shingle_sets(values[a:b])
-                keys = band_keys(signatures(b - a, text, grams, weights.value[cells_of(grams)]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[a:b], BANDS)), pa.array(keys.ravel())], names=["doc", "key"])
+                # a shingle that a text repeats draws the same again, so the minima are those of the set
+                text, grams = shingles_of(values[a:b])
+                signature = signatures(b - a, text, grams, weights.value[cells_of(grams)])
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(band_keys(signature).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b]), keys, *map(pa.array, sketches(signature))], names=["doc", "keys", "x", "y"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,9 +205,18 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool =
                 heavy.append(wb / (wx + wy - wb))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(plain, pa.float64()), pa.array(heavy, pa.float64())], names=["doc_a", "doc_b", "jaccard", "weighted_jaccard"])
 
-    banded = normed.select("doc", "text").mapInArrow(bands, "doc bigint, key bigint").repartition("key").distinct()
-    left, right = banded.withColumnRenamed("doc", "doc_a"), banded.withColumnRenamed("doc", "doc_b")
-    candidates = materialize(left.join(right, "key").where(F.col("doc_a") < F.col("doc_b")).select("doc_a", "doc_b").distinct(), "candidates")
+    signs = materialize(normed.select("doc", "text").mapInArrow(signed, "doc bigint, keys array<bigint>, x bigint, y bigint"), "signs")
+    banded = signs.select("doc", F.explode("keys").alias("key")).repartition("key").distinct()
+    met = banded.withColumnRenamed("doc", "doc_a").join(banded.withColumnRenamed("doc", "doc_b"), "key").where(F.col("doc_a") < F.col("doc_b")).select("doc_a", "doc_b").distinct()
+    sketch = signs.select("doc", "x", "y").dropDuplicates(["doc"])
+    agreeing = 2 * (BANDS * WIDTH // 2) - F.bit_count(F.col("x").bitwiseXOR(F.col("u"))) - F.bit_count(F.col("y").bitwiseXOR(F.col("v")))
+    candidates = materialize(
+        met.join(sketch.withColumnRenamed("doc", "doc_a"), "doc_a")
+        .join(sketch.select(F.col("doc").alias("doc_b"), F.col("x").alias("u"), F.col("y").alias("v")), "doc_b")
+        .where(agreeing >= LEAST_BITS)
+        .select("doc_a", "doc_b"),
+        "candidates",
+    )
     wanted = candidates.select(F.col("doc_a").alias("doc")).union(candidates.select(F.col("doc_b").alias("doc"))).distinct()
     representative = normed.join(wanted, "doc", "left_semi").select("doc", "text").dropDuplicates(["doc"])
     sides = materialize(representative, "sides")
