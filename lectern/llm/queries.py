@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import canonical, lines, near, spans, splitting, survivorship
-from lectern.session import table
+from lectern.llm import answers, canonical, lines, mixing, near, spans, splitting, survivorship, tokens
+from lectern.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,10 @@ def p5_canonical(spark: SparkSession, base: str) -> DataFrame:
     return canonical.uncommon_fields(table(spark, base, "sections")).dropDuplicates(["id", "field"])
 
 
+def p6_found(spark: SparkSession, base: str) -> DataFrame:
+    return answers.defective_answers(table(spark, base, "llm_cache"), table(spark, base, "llm_calls"))
+
+
 def p7_found(spark: SparkSession, base: str) -> DataFrame:
     return splitting.split_oversized(table(spark, base, "sections")).where(F.col("piece_no") == 1).select("id").distinct()
 
@@ -62,6 +66,24 @@ def p7_pieces(spark: SparkSession, base: str) -> DataFrame:
     return splitting.split_oversized(sections).dropDuplicates(["id", "piece_no"])
 
 
+def p8_ids(spark: SparkSession, base: str) -> DataFrame:
+    return tokens.encode_texts(table(spark, base, "documents").select("doc_id", "text"))
+
+
+def _mixture(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    sizes = mixing.sized(table(spark, base, "documents"))
+    plan = mixing.plan_of(sizes, table(spark, base, "mix_targets"))
+    return plan, materialize(mixing.mix(sizes, plan), "mixture")
+
+
+def p9_shares(spark: SparkSession, base: str) -> DataFrame:
+    return mixing.shares(*_mixture(spark, base))
+
+
+def p9_mixture(spark: SparkSession, base: str) -> DataFrame:
+    return _mixture(spark, base)[1]
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("p") and name[1:2].isdigit()}
 
