@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import answers, canonical, lines, mixing, near, spans, splitting, survivorship, tokens
+from lectern.llm import answers, canonical, lines, mixing, near, residue, spans, splitting, survivorship, tokens
 from lectern.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def p9_mixture(spark: SparkSession, base: str) -> DataFrame:
     return _mixture(spark, base)[1]
 
 
+def p10_found(spark: SparkSession, base: str) -> DataFrame:
+    return residue.residue(table(spark, base, "documents")).select("doc_id").distinct()
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("p") and name[1:2].isdigit()}
 
