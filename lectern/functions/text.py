@@ -23,15 +23,14 @@ FIGURE_NOTE = "*[Figure omitted from source conversion: {}]*"
 HAN = r"\x{4e00}-\x{9fff}"
 
 
-@F.pandas_udf("string")
-def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _to_nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for values in batches:
         yield values.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
 
 def nfkc(text: Column) -> Column:
     """NFKC, the one text function that Spark lacks; Arrow batches, ASCII passed through."""
-    return _nfkc(text)
+    return F.pandas_udf(_to_nfkc, "string")(text)
 
 
 def trimmed(text: Column) -> Column:
