@@ -9,7 +9,7 @@ from lectern.functions.text import HAN, WS, compact_key, normalize_title, trimme
 
 #: Compact keys and words that mark front and back matter.
 TOC_KEYS = ("目录", "总目录", "contents", "微表情相关章节目录")
-PREFACE_WORDS = ("前言", "序言", "自序", "导读", "引言", "绪论", "序")
+PREFACE_WORDS = ("前言", "序言", "导读", "引言")
 COPYRIGHT_KEYS = ("版权信息", "cip")
 BIBLIOGRAPHY_WORDS = ("参考书目", "索引")
 SKILL_TEST = "表情辨识能力测试|普通表情的辨识|常见表情的辨识|复杂表情的辨识|表情的辨识"
@@ -31,9 +31,8 @@ def is_contents_heading(title: Column, stable: bool = True) -> Column:
 
 
 def is_preface_heading(title: Column, stable: bool = True) -> Column:
-    key = compact_key(title, stable)
-    start = F.substring(key, 1, 6)
-    return key.isin(*PREFACE_WORDS) | key.rlike("^(?:" + "|".join(PREFACE_WORDS[:-1]) + ")") | start.rlike("|".join(PREFACE_WORDS[:-1]))
+    head = F.substring(F.translate(normalize_title(title, stable), " ", ""), 1, 6)
+    return (compact_key(title, stable) == "preface") | head.rlike("|".join(PREFACE_WORDS))
 
 
 def is_bibliography_heading(title: Column, stable: bool = True) -> Column:
@@ -113,8 +112,9 @@ def is_section(title: Column, stable: bool = True) -> Column:
 
 
 def is_front_or_back_matter(title: Column, stable: bool = True) -> Column:
-    head = F.substring(compact_key(title, stable), 1, 8)
-    return is_preface_heading(title, stable) | head.rlike("后记|" + "|".join(BIBLIOGRAPHY_WORDS))
+    key = compact_key(title, stable)
+    head = F.substring(F.translate(normalize_title(title, stable), " ", ""), 1, 8)
+    return key.isin("preface", *BIBLIOGRAPHY_WORDS) | key.contains("后记") | head.rlike("|".join(PREFACE_WORDS))
 
 
 def is_magazine_quiz(title: Column) -> Column:
@@ -146,7 +146,7 @@ def section_kind(title: Column, body: Column, stable: bool = True) -> Column:
         F.when(is_bibliography_heading(title, stable), "bibliography")
         .when(is_preface_heading(title, stable) | is_afterword(title, stable), "preface")
         .when(title.rlike(SKILL_TEST), "skill_test")
-        .when(is_magazine_quiz(title) | has_choices(body), "quiz")
+        .when(title.contains("心理测试") & (has_choices(body) | body.contains("结果分析")), "quiz")
         .otherwise("body")
     )
 

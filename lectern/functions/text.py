@@ -19,7 +19,6 @@ BLANK = r"[ \t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{2
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 #: Marks that headings are compared without.
 PUNCTUATION = r"[：:、，。！？!?,;；\-—–_·•\.．]+"
-FIGURE_NOTE = "*[Figure omitted from source conversion: {}]*"
 HAN = r"\x{4e00}-\x{9fff}"
 
 
@@ -102,15 +101,15 @@ def body_text(lines: Column) -> Column:
     return F.regexp_replace(F.array_join(kept, "\n"), r"^\n+|\n+$", "")
 
 
-_CAPTION = rf"^{WS}*(?:\*\*|__)?{WS}*(图{WS}*\p{{Nd}}+(?:[.\-－—]\p{{Nd}}+)?)(?:{WS}+(.+?))?{WS}*(?:\*\*|__)?{WS}*$"
+_CAPTION = rf"^{WS}*(?:\*\*|__)?{WS}*图{WS}*\p{{Nd}}+(?:[.\-－—]\p{{Nd}}+)?(?:{WS}+.+?)?{WS}*(?:\*\*|__)?{WS}*$"
 
 
 def figure_captions(text: Column) -> Column:
     """Lines that are only a figure's caption become a note; lines that refer to a figure stay."""
 
     def line(x: Column) -> Column:
-        number, words = F.regexp_extract(x, _CAPTION, 1), F.regexp_extract(x, _CAPTION, 2)
-        note = F.concat(F.lit("*[Figure omitted from source conversion: "), F.concat_ws(" ", number, F.nullif(words, F.lit(""))), F.lit("]*"))
+        bare = trimmed(F.regexp_replace(trimmed(x), r"^(?:\*\*|__)|(?:\*\*|__)$", ""))
+        note = F.concat(F.lit("*[Figure omitted from source conversion: "), bare, F.lit("]*"))
         return F.when(x.rlike(_CAPTION) & ~x.contains("如图"), note).otherwise(x)
 
     return F.array_join(F.transform(F.split(text, "\n"), line), "\n")
