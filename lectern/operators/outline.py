@@ -119,7 +119,7 @@ def bucket_nodes(flat: DataFrame, lexicon_table: DataFrame) -> DataFrame:
     """
     spaced = F.translate("bucket", "_", " ")
     in_id = F.array_contains(F.split("node_id", "[-_]"), F.col("bucket")) | F.array_contains(F.split("node_id", "-"), F.translate("bucket", "_", ""))
-    in_en = F.lower(F.coalesce("title_en", F.lit(""))).rlike(F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), spaced, F.lit(r"(?![\p{L}\p{N}_])")))
+    in_en = F.regexp_like(F.lower(F.coalesce("title_en", F.lit(""))), F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), spaced, F.lit(r"(?![\p{L}\p{N}_])")))
     in_title = F.contains(F.coalesce("title_zh", F.lit("")), F.col("pattern")) | F.contains(F.lower(F.coalesce("title_en", F.lit(""))), F.lower("pattern"))
     hits = flat.select("node_id", "title_en", "title_zh").join(F.broadcast(lexicon_table), in_id | in_en | in_title).select("bucket", "node_id").distinct()
     return hits.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node_id").alias("node_id")).where("n = 1").drop("n")

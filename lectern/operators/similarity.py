@@ -52,7 +52,7 @@ class Signer:
         if len(self._hashes) > self._bound:
             self._hashes.clear()
         known, seed = self._hashes, struct.pack(">I", SEED)
-        for shingle in shingles - known.keys():
+        for shingle in [x for x in shingles if x not in known]:
             known[shingle] = int.from_bytes(hashlib.sha256(seed + shingle.encode("utf-8", "surrogatepass")).digest()[:4], "big")
         x = np.fromiter((known[s] for s in shingles), np.uint64, len(shingles))
         a, b = _permutations()
