@@ -92,5 +92,33 @@ def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("p") and name[1:2].isdigit()}
 
 
+_EMOJI = r"[\x{1F000}-\x{1FAFF}\x{FE0F}\x{2600}-\x{27BF}]"
+_UNUSUAL = (
+    r"[\x{FF10}-\x{FF19}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{300}-\x{36F}\x{20D0}-\x{20DC}\x{AD}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{FEFF}\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}"
+    r"\x{2E80}-\x{2FD5}\x{F900}-\x{FA0D}\x{FA30}-\x{FAD9}]|[A-Za-z\x{C0}-\x{24F}][\x{370}-\x{3FF}\x{400}-\x{52F}]|[\x{370}-\x{3FF}\x{400}-\x{52F}][A-Za-z\x{C0}-\x{24F}]"
+)
+_NO_BOOK = ", ".join(f"'{x}'" for x in survivorship.NO_BOOK)
+
+
+def _unjoined(column: str) -> str:
+    """Joiners between emoji taken out; twice, as matches can't overlap."""
+    once = f"regexp_replace({column}, '({_EMOJI})\\x{{200D}}({_EMOJI})', '\\1\\2', 'g')"
+    return f"regexp_replace({once}, '({_EMOJI})\\x{{200D}}({_EMOJI})', '\\1\\2', 'g')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that it can express: it has no NFKC, tokenizer or parser."""
+    return {
+        "p1_found": """WITH t AS (SELECT DISTINCT id, text FROM sections WHERE length(text) >= 80), g AS (SELECT id, unnest(range(0, length(text) - 79)) AS i, text FROM t), h AS (SELECT id, i, substr(text, i + 1, 80) AS gram FROM g),
+            r AS (SELECT gram FROM h GROUP BY gram HAVING min(id) <> max(id)), s AS (SELECT id, i, i - lag(i) OVER (PARTITION BY id ORDER BY i) AS step FROM h SEMI JOIN r USING (gram)),
+            k AS (SELECT id, i, sum(CASE WHEN step <= 80 THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY i) AS run FROM s) SELECT id, min(i)::BIGINT AS span_start, (max(i) + 80)::BIGINT AS span_end FROM k GROUP BY id, run""",
+        "p3_found": f"""WITH RECURSIVE s AS (SELECT id, any_value(text) AS text, any_value(source_stem) AS stem, any_value(source_book) AS book, any_value(duplicate_of) AS dup FROM sections GROUP BY id),
+            e AS (SELECT a.id AS x, a.dup AS y FROM s a SEMI JOIN s b ON a.dup = b.id WHERE a.id <> a.dup), u AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+            r AS (SELECT x AS node, x AS seen FROM u UNION SELECT r.node, u.y FROM r JOIN u ON r.seen = u.x), g AS (SELECT node AS id, min(seen) AS group_id FROM r GROUP BY node),
+            m AS (SELECT g.group_id, s.id, coalesce(length(text), 0) AS size, trust, CASE WHEN lower(trim(book)) IN ({_NO_BOOK}) THEN NULL ELSE book END AS book FROM g JOIN s USING (id) LEFT JOIN imprints ON imprint = string_split(stem, '-')[1])
+            SELECT a.group_id, a.id AS survivor_id, b.book AS source_book FROM (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY size DESC, id) = 1) a
+            LEFT JOIN (SELECT * FROM m WHERE book IS NOT NULL QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY trust DESC NULLS LAST, size DESC, id) = 1) b ON a.group_id = b.group_id""",
+        "p5_found": f"""SELECT DISTINCT id, 'text' AS field FROM sections WHERE regexp_matches({_unjoined('text')}, '{_UNUSUAL}') OR contains({_unjoined('text')}, chr(8205))
+            UNION SELECT DISTINCT id, 'heading_path' FROM (SELECT id, unnest(heading_path) AS part FROM sections) WHERE regexp_matches({_unjoined('part')}, '{_UNUSUAL}') OR contains({_unjoined('part')}, chr(8205))""",
+        "p7_found": "SELECT DISTINCT id FROM sections WHERE length(text) > 4000",
+    }
