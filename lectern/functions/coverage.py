@@ -61,6 +61,8 @@ def flat_tokens(families: Column) -> Column:
 
 def missing_tokens(output: Column, required: Column, convert: tuple[str, str] = ("", "")) -> Column:
     """Required tokens that the output doesn't hold, neither as they are nor with the characters of ``convert`` replaced in both."""
-    hay = nfkc(output)
-    other = F.translate(hay, *convert) if convert[0] else hay
-    return F.filter(required, lambda t: ~(F.contains(hay, t) | F.contains(other, F.translate(t, *convert) if convert[0] else t)))
+    swap = lambda c: F.translate(c, *convert) if convert[0] else c
+    # a Python function can't stand in a lambda, so the normalized output goes in beside each token
+    hay = F.array_repeat(nfkc(output), F.size(required))
+    absent = F.zip_with(required, hay, lambda t, h: F.when(~(F.contains(h, t) | F.contains(swap(h), swap(t))), t))
+    return F.filter(absent, lambda t: t.isNotNull())

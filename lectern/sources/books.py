@@ -28,7 +28,7 @@ def valid_topic(topic: str) -> str:
 def books(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """``(path, stem, sha256, bytes, chars, physical_lines, text)`` of the topic's Markdown files, but hidden and compiled ones.
 
-    Only the topic's own folder is listed. Bytes that are no valid UTF-8 raise.
+    Only the topic's own folder is listed; empty files are passed over. Bytes that are no valid UTF-8 raise.
     """
     name = F.substring_index("path", "/", -1)
     compiled = name.rlike(r"\.(?:zh|en)\.md$|^compiled.*\.md$|^\.") | name.isin(f"{topic}.md", f"{topic}.hk.md")
