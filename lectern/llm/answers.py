@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARKER = "---CONFLICTS-JSON---"
-_HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿︀-️]")
+_HIDDEN = re.compile("[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff\ufe00-\ufe0f]")
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)[^\n`]*$", re.M)
 _TAG = re.compile(r"<[/!]?[A-Za-z][^<>\n]*>|<!--.*?-->|&(?:nbsp|zwnj|#\d+);", re.S)
 _APART = re.compile(r"[\W_]+")
@@ -205,7 +205,7 @@ def is_refusal(text: str) -> bool:
 
 _PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "｛": "｝", "【": "】", "《": "》", "〈": "〉", "「": "」", "『": "』", "“": "”", "〔": "〕", "«": "»"}
 _CLOSERS = set(_PAIRS.values())
-_EMOJI = "☀-➿\U0001f000-\U0001faff️‍"
+_EMOJI = "\u2600-\u27bf\U0001f000-\U0001faff\ufe0f\u200d"
 #: Endings that are complete though no sentence ends there: a tag, a node's name, a sign-off, a closing remark, an emoji.
 _END = re.compile(
     rf"\n[ \t]*(?:\[[\w.#:-]+\]|[*_]+[\w.:# -]+[*_]+|[—–-]+ ?(?:整理自|整理|摘自|编者|編者|collected by|compiled by|edited by|translated by|by |signed|source)[^\n]*|——? ?[^\n。！？]{{1,24}}|[(（](?:完|全文完|本节完|本節完|end[^()（）\n]*|fin)[)）]|[{_EMOJI}]+)[ \t]*$",
@@ -292,10 +292,10 @@ def is_truncated(text: str) -> bool:
 
 # --- other language ------------------------------------------------------------------------------
 
-_HAN = re.compile("[㐀-鿿豈-﫿\U00020000-\U0003ffff]")
-_LATIN = re.compile("[A-Za-zÀ-ɏ]")
-_KANA = re.compile("[぀-ヿㇰ-ㇿｦ-ﾝ]")
-_FOREIGN = re.compile("[Ѐ-ӿͰ-Ͽ֐-ۿऀ-ॿ฀-๿가-힯ᄀ-ᇿ]")
+_HAN = re.compile("[\u3400-\u9fff\u8c48-\ufaff\U00020000-\U0003ffff]")
+_LATIN = re.compile("[A-Za-z\u00c0-\u024f]")
+_KANA = re.compile("[\u3040-\u30ff\u31f0-\u31ff\uff66-\uff9d]")
+_FOREIGN = re.compile("[\u0400-\u04ff\u0370-\u03ff\u0590-\u06ff\u0900-\u097f\u0e00-\u0e7f\uac00-\ud7af\u1100-\u11ff]")
 _YUE = re.compile("[嘅喺唔佢哋咗啲嗰冇嚟噉㗎咁乜嘢睇吓俾畀仲咪嘥攞揾諗嘞喎啦嗱啱嘢]|係")
 _MANDARIN = re.compile("[的是这這那们們没沒了在把被她它很吗嗎吧呢]|不")
 #: Frequent function words of English and of other languages in Latin letters.

@@ -20,17 +20,17 @@ from pyspark.sql import functions as F
 
 WIDE = "０-９Ａ-Ｚａ-ｚ"
 #: Combining accents, without the keycap and the variation selectors of emoji.
-MARK = "̀-͎͐-ͯ҃-҇᪰-᫿᷀-᷿⃐-⃥⃜⃡-゙゚⃰︠-︯"
-SPACE = "   -   "
+MARK = "\u0300-\u034e\u0350-\u036f\u0483-\u0487\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20dc\u20e1\u20e5-\u20f0\u3099\u309a\ufe20-\ufe2f"
+SPACE = "\u00a0\u1680\u2000-\u200a\u202f\u205f"
 #: Radicals and compatibility forms, without the twelve unified ideographs that stand in their block.
-FORM = "⺀-⺙⺛-⻳⼀-⿕豈-嗀塚晴凞-羽蘒諸逸都飯-龎\U0002f800-\U0002fa1d"
-HIDDEN = "­͏؜ᅟᅠ឴឵᠎​‌‎‏‪-‮⁠-⁤⁦-⁯ㅤ﻿￹-￻"
-LATIN = f"A-Za-zªºÀ-ÖØ-öø-ʯḀ-ỿ{WIDE[3:]}"
-OTHER = "Ͱ-ͳͶͷͻ-ͽͿΆΈ-Ͽἀ-῿Ѐ-ҁҊ-ԯᲀ-ᲈⷠ-ⷿꙀ-ꚟ"
-EMOJI = "©®‼-㊙️\U0001f000-\U0001faff"
-_JOINER = f"(?<![{EMOJI}])‍|‍(?![{EMOJI}])"
+FORM = "\u2e80-\u2e99\u2e9b-\u2ef3\u2f00-\u2fd5\uf900-\ufa0d\ufa10\ufa12\ufa15-\ufa1e\ufa20\ufa22\ufa25\ufa26\ufa2a-\ufad9\U0002f800-\U0002fa1d"
+HIDDEN = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b\u200c\u200e\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\u3164\ufeff\ufff9-\ufffb"
+LATIN = f"A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff{WIDE[3:]}"
+OTHER = "\u0370-\u0373\u0376\u0377\u037b-\u037d\u037f\u0386\u0388-\u03ff\u1f00-\u1fff\u0400-\u0481\u048a-\u052f\u1c80-\u1c88\u2de0-\u2dff\ua640-\ua69f"
+EMOJI = "\u00a9\u00ae\u203c\u2049\u2122\u2139\u2194-\u21aa\u231a-\u23ff\u24c2\u25aa-\u25fe\u2600-\u27bf\u2934-\u2935\u2b05-\u2b55\u3030\u303d\u3297\u3299\ufe0f\U0001f000-\U0001faff"
+_JOINER = f"(?<![{EMOJI}])\u200d|\u200d(?![{EMOJI}])"
 _TAGS = "(?<![\U0001f3f4\U000e0020-\U000e007e])[\U000e0001\U000e0020-\U000e007f]"
-_GAP = f"[{MARK}{HIDDEN}‍]*"
+_GAP = f"[{MARK}{HIDDEN}\u200d]*"
 _MIXED = f"[{LATIN}]{_GAP}[{OTHER}]|[{OTHER}]{_GAP}[{LATIN}]"
 
 CLASSES = {

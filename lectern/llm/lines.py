@@ -77,10 +77,10 @@ def repeated_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataF
 
 def remove_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the lines of ``found`` taken out of ``text``; documents without such lines are unchanged."""
-    gone = found.groupBy(F.col("id").alias("gone_id")).agg(F.collect_set("line_no").alias("gone_lines"))
-    kept = F.expr("array_join(filter(split(text, '\n'), (x, i) -> not array_contains(gone_lines, i + 1L)), '\n')")
+    gone = found.groupBy(F.col("id").alias("_lectern_gone_id")).agg(F.collect_set("line_no").alias("_lectern_gone_lines"))
+    kept = F.expr("array_join(filter(split(text, '\n'), (x, i) -> not array_contains(_lectern_gone_lines, i + 1L)), '\n')")
     return (
-        docs.join(gone, F.col("id") == F.col("gone_id"), "left")
-        .withColumn("text", F.when(F.col("gone_id").isNull(), F.col("text")).otherwise(kept))
-        .drop("gone_id", "gone_lines")
+        docs.join(gone, F.col("id") == F.col("_lectern_gone_id"), "left")
+        .withColumn("text", F.when(F.col("_lectern_gone_id").isNull(), F.col("text")).otherwise(kept))
+        .drop("_lectern_gone_id", "_lectern_gone_lines")
     )

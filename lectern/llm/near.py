@@ -102,6 +102,11 @@ def signatures(texts: int, text: np.ndarray, grams: np.ndarray, weight: np.ndarr
             source = (step % _U(BINS)).astype(np.int64)
             filled = np.where(empty, least[:, source], filled)
             empty = filled == np.iinfo(np.uint64).max
+        for shift in range(1, BINS):  # what the hashed order has not reached
+            if not empty.any():
+                break
+            filled = np.where(empty, np.roll(least, shift, axis=1), filled)
+            empty = filled == np.iinfo(np.uint64).max
         out[:, number * BINS : (number + 1) * BINS] = (filled & _U(0xFFFFFFFF)).astype(np.uint32)
     return out
 

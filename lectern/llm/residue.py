@@ -64,7 +64,7 @@ home retry|back to top|privacy policy|terms of use|contact us|all rights reserve
 _CRUMBS = re.compile(r"^\s*(?:home|index|首页|首頁|主页|主頁)\s*[>/›»→|]", re.I)
 _STATUS = re.compile(r"^\W*(?:http(?:/[\d.]+)?\s*)?(?:error|错误|錯誤)?\W*[45]\d\d\W*$", re.I)
 _BANNER = re.compile(r"^[\w-]+/\d+(?:\.\d+)+$")
-_TERMS = re.compile(r"[a-z]*[0-9][a-z0-9]*|[a-z]+(?:'[a-z]+)?|[㐀-鿿豈-﫿]+")
+_TERMS = re.compile(r"[a-z]*[0-9][a-z0-9]*|[a-z]+(?:'[a-z]+)?|[㐀-鿿豈-﫿]+")
 _FUNCTION = {"the", "of", "and", "to", "is", "that", "a", "in", "it", "for", "with", "when", "because", "on", "was"}
 
 

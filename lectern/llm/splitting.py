@@ -31,7 +31,7 @@ _BOUNDARIES = tuple(
     )
 )
 
-_JOINED = re.compile("[̀-ͯ‍︀-️\U0001f3fb-\U0001f3ff]|(?<=\r)\n|(?<=‍).")
+_JOINED = re.compile("[\u0300-\u036f\u200d\ufe00-\ufe0f\U0001f3fb-\U0001f3ff]|(?<=\r)\n|(?<=\u200d).")
 
 
 def boundary_strengths(text: str) -> np.ndarray:
