@@ -143,7 +143,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column(0).to_pylist()
         for a, b in chunks(texts):
             text, grams = shingles_of(texts[a:b])
-            once = np.unique(text * CELLS + cells_of(grams))  # a text counts once for a cell
+            cell = text * CELLS + cells_of(grams)
+            cell.sort()
+            once = cell[np.r_[True, cell[1:] != cell[:-1]]] if len(cell) else cell  # a text counts once for a cell
             counts += np.bincount(once % CELLS, minlength=CELLS)
     for part in range(CELLS // PART):
         cells = counts[part * PART : (part + 1) * PART]
