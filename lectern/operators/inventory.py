@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.budget import estimate_tokens
 from lectern.functions.text import excerpt
+from lectern.operators.ordering import blocked, plain
 
 #: Buckets in order, and the substrings of a heading path that put it there.
 LEXICON = {
@@ -78,9 +79,8 @@ def packed_headings(rows: DataFrame, group: str, order: str, line: str, cap: int
     not cross blocks: a group of many rows gets a few more packs than one fold
     over all of it would give.
     """
-    ordered = Window.partitionBy(group).orderBy(order)
-    sized = rows.withColumn("_n", F.row_number().over(ordered) - 1).withColumn("_block", F.floor(F.col("_n") / block)).withColumn("_tokens", estimate_tokens(F.length(line) + 1, chars_per_token))
-    folded = sized.groupBy(group, "_block").agg(F.sort_array(F.collect_list(F.struct("_n", "_tokens"))).alias("_rows"))
+    sized = blocked(rows, group, order, size=block).withColumn("_tokens", estimate_tokens(F.length(line) + 1, chars_per_token))
+    folded = sized.groupBy("_group", "_block").agg(F.sort_array(F.collect_list(F.struct("_n", "_tokens"))).alias("_rows"))
     start = F.struct(F.lit(0).alias("pack"), F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<struct<n:bigint,pack:int>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -92,9 +92,6 @@ def packed_headings(rows: DataFrame, group: str, order: str, line: str, cap: int
             F.concat(acc["out"], F.array(F.struct(x["_n"].cast("bigint").alias("n"), pack.alias("pack")))).alias("out"),
         )
 
-    packs = folded.select(group, "_block", F.inline(F.aggregate("_rows", start, step, lambda acc: acc["out"])))
-    return (
-        sized.join(packs.select(F.col(group).alias("_g"), F.col("n").alias("_m"), "pack"), (F.col(group) == F.col("_g")) & (F.col("_n") == F.col("_m")))
-        .withColumn("pack", F.struct(F.col("_block").alias("block"), "pack"))
-        .drop("_g", "_m", "_n", "_block", "_tokens")
-    )
+    packs = folded.select("_group", "_block", F.inline(F.aggregate("_rows", start, step, lambda acc: acc["out"])))
+    both = sized.join(packs.select("_group", F.col("n").alias("_n"), F.col("pack").alias("_pack")), ["_group", "_n"])
+    return plain(both.withColumn("pack", F.struct(F.col("_block").alias("block"), F.col("_pack").alias("pack"))).drop("_pack", "_tokens"))

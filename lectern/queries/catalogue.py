@@ -11,6 +11,7 @@ from lectern.functions import budget, coverage, predicates
 from lectern.functions import text as T
 from lectern.operators import assemble, inventory, merge, outline, sections, similarity
 from lectern.operators.components import connected_components
+from lectern.operators.ordering import blocked, in_block, over_blocks
 from lectern.plans.provider import FakeProvider, compacted, completed
 from lectern.session import materialize, table
 from lectern.sources.books import line_count
@@ -236,9 +237,11 @@ def segment_bounds(spark: SparkSession, base: str) -> DataFrame:
     """Sections of level 1 with the line before the next one."""
     rows = first_deliveries(table(spark, base, "sections"), "source_stem", "start_line", "end_line", "level")
     last = rows.groupBy("source_stem").agg(F.max("end_line").alias("last"))
-    by_line = Window.partitionBy("source_stem").orderBy("start_line", "id")
-    heads = rows.where("level = 1").withColumn("next", F.lead("start_line").over(by_line))
-    return heads.join(last, "source_stem").select("id", "source_stem", "start_line", F.coalesce(F.col("next") - 1, "last").alias("end_line"))
+    firsts = blocked(rows.where("level = 1"), "source_stem", "start_line", "id")
+    begins = firsts.groupBy("_group", "_block").agg(F.min_by("start_line", "_n").alias("first"))
+    following = begins.select("_group", "_block", F.lead("first").over(over_blocks()).alias("following"))
+    ends = firsts.withColumn("next", F.lead("start_line").over(in_block())).join(following, ["_group", "_block"]).join(last, "source_stem")
+    return ends.select("id", "source_stem", "start_line", F.coalesce(F.coalesce("next", "following") - 1, "last").alias("end_line"))
 
 
 @query(f"SELECT id, coalesce(last_value(source_book IGNORE NULLS) OVER (PARTITION BY source_stem ORDER BY ord ROWS UNBOUNDED PRECEDING), source_stem) AS book FROM {_SECTIONS}")
