@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,39 +49,59 @@ def _characters(piece: bytes) -> list[bytes]:
     return [piece[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+class _Kinds(dict):
+    """For each character one that stands for all characters that tokens treat alike at their edges."""
+
+    def __init__(self, across: dict[bytes, set[bytes]]):
+        super().__init__()
+        self._across, self._starts = across, frozenset(x for s in across.values() for x in s)
+        self._known: dict[tuple[frozenset[bytes], frozenset[bytes]], str] = {}
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code).encode("utf-8", "surrogatepass")
+        edges = frozenset(c[i:] for i in range(len(c)) if c[i:] in self._across), frozenset(c[:i] for i in range(1, len(c) + 1) if c[:i] in self._starts)
+        if edges not in self._known:
+            self._known[edges] = chr(0x4E00 + len(self._known))
+        found = self[code] = self._known[edges]
+        return found
+
+    def joined(self) -> regex.Pattern:
+        """Matches a kind before another one into which a token may reach from it."""
+        rules = []
+        for (ends, _), a in self._known.items():
+            reach = frozenset().union(*(self._across[e] for e in ends))
+            if after := "".join(b for (_, starts), b in self._known.items() if not reach.isdisjoint(starts)):
+                rules.append(f"{a}(?=[{after}])")
+        return re.compile("|".join(rules) or "(?!)")
+
+    def __len__(self) -> int:
+        return len(self._known)
+
+
 class Units:
     """Cuts words where no token can reach from one character into the next."""
 
     def __init__(self, ranks: dict[bytes, int]):
         # what a token holds of the characters on the two sides of a boundary: whole characters, the end of one or the start of one
-        self._across: dict[bytes, set[bytes]] = {}
+        across: dict[bytes, set[bytes]] = {}
         for piece in ranks:
             parts = _characters(piece)
             for a, b in zip(parts, parts[1:], strict=False):
-                self._across.setdefault(a, set()).add(b)
-        self._known: dict[tuple[str, str], bool] = {}
-
-    def _joined(self, a: str, b: str) -> bool:
-        known = self._known.get((a, b))
-        if known is None:
-            x, y = a.encode(), b.encode()
-            ends = {x[i:] for i in range(len(x))}
-            starts = {y[:i] for i in range(1, len(y) + 1)}
-            known = self._known[a, b] = any(not starts.isdisjoint(self._across[e]) for e in ends if e in self._across)
-            if len(self._known) > 500_000:
-                self._known.clear()
-        return known
+                across.setdefault(a, set()).add(b)
+        self._kinds = _Kinds(across)
+        self._joined, self._of = re.compile("(?!)"), 0
 
     def of(self, word: str) -> list[str]:
         if word.isascii():
             return [word]
-        out, first = [], 0
-        for i in range(1, len(word)):
-            if not self._joined(word[i - 1], word[i]):
-                out.append(word[first:i])
-                first = i
-        out.append(word[first:])
-        return out
+        kinds = word.translate(self._kinds)
+        if len(self._kinds) != self._of:
+            self._joined, self._of = self._kinds.joined(), len(self._kinds)
+        if not self._joined.search(kinds):
+            return list(word)
+        joined = {m.end() for m in self._joined.finditer(kinds)}
+        cuts = [0, *(i for i in range(1, len(word)) if i not in joined), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def merge(unit: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -161,28 +182,27 @@ def fold_merges(unit: Column, ranks: dict[bytes, int]) -> Column:
     return F.transform(folded["pieces"], lambda p: _rank(table, p))
 
 
+def _counts(units: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(units), pa.string()), pa.array(list(units.values()), pa.int64())], names=["unit", "n"])
+
+
 def unit_ids(docs: DataFrame, ranks: dict[bytes, int], most: int = MOST_UNITS) -> dict[str, bytes]:
-    """The ids of the ``most`` most frequent units of all texts, as little-endian ints."""
+    """The ids, as little-endian ints, of the ``most`` units that the most distinct words of all texts hold."""
     pattern, cut = regex.compile(PATTERN), Units(ranks)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units: Counter[str] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(units), pa.string()), pa.array(list(units.values()), pa.int64())], names=["unit", "n"])
-            units.clear()
-            return out
-
+        seen: set[str] = set()
         for batch in batches:
-            words: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
-                words.update(pattern.findall(text))
-            for word, n in words.items():
-                for unit in cut.of(word):
-                    units[unit] += n
-            if len(units) > 300_000:
-                yield flush()
-        yield flush()
+            words = {w for text in batch.column(0).to_pylist() for w in pattern.findall(text)} - seen
+            seen |= words
+            for word in words:
+                units.update(cut.of(word))
+            if len(units) > 300_000 or len(seen) > 500_000:
+                yield _counts(units)
+                units.clear()
+                seen.clear()
+        yield _counts(units)
 
     texts = docs.select("text").where(F.col("text").isNotNull())
     units = texts.mapInArrow(counted, "unit string, n bigint").where(F.octet_length("unit") <= UNIT_BYTES).groupBy("unit").agg(F.sum("n").alias("n"))
