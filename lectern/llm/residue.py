@@ -35,6 +35,9 @@ PLACEHOLDER = re.compile(
     rf"|[【\[](?:请|請)?(?:填写|填寫|填入|输入|輸入|插入|在此|此处|此處)[^【】\[\]\n]{{0,40}}[】\]]|\[(?:INSERT|ENTER|YOUR|ADD|TODO|PLACEHOLDER)\b[^\[\]\n]{{0,60}}\]|\bINSERT_[A-Z_]+\b",
 )
 
+#: One of these is in every placeholder.
+_OPENERS = ("{", "｛", "<%", "<?", "<<", "&lt;", "%%", "@@", "__", "[", "【", "INSERT_")
+
 #: Labelled exemplars, whole notices and their parts.
 NOTICES = """
 404 not found|403 forbidden|401 unauthorized|400 bad request|410 gone|429 too many requests|500 internal server error|502 bad gateway|503 service unavailable|504 gateway timeout|404|error 404
@@ -64,22 +67,23 @@ home retry|back to top|privacy policy|terms of use|contact us|all rights reserve
 _CRUMBS = re.compile(r"^\s*(?:home|index|首页|首頁|主页|主頁)\s*[>/›»→|]", re.I)
 _STATUS = re.compile(r"^\W*(?:http(?:/[\d.]+)?\s*)?(?:error|错误|錯誤)?\W*[45]\d\d\W*$", re.I)
 _BANNER = re.compile(r"^[\w-]+/\d+(?:\.\d+)+$")
-_TERMS = re.compile(r"[a-z]*[0-9][a-z0-9]*|[a-z]+(?:'[a-z]+)?|[㐀-鿿豈-﫿]+")
+_TERMS = re.compile(r"([a-z]*[0-9][a-z0-9]*)|([a-z]+(?:'[a-z]+)?)|([㐀-鿿豈-﫿]+)")
+_LATIN = re.compile(r"[a-z]*[0-9][a-z0-9]*|[a-z]+(?:'[a-z]+)?")
 _FUNCTION = {"the", "of", "and", "to", "is", "that", "a", "in", "it", "for", "with", "when", "because", "on", "was"}
 
 
 def terms(line: str) -> Counter[str]:
     """Words in Latin letters, numbers and codes as one sign, and pairs of Han characters."""
     out: Counter[str] = Counter()
-    for run in _TERMS.findall(unicodedata.normalize("NFKC", line).lower().replace("’", "'")):
-        if run[0].isascii() and any(c.isdigit() for c in run):
+    for number, word, run in _TERMS.findall(unicodedata.normalize("NFKC", line).lower().replace("’", "'")):
+        if number:
             out["0"] += 1
-        elif run[0].isascii():
-            out[run] += 1
+        elif word:
+            out[word] += 1
         elif len(run) == 1:
             out[run] += 1
         else:
-            out.update(run[i : i + 2] for i in range(len(run) - 1))
+            out.update(map("".join, zip(run, run[1:], strict=False)))
     return out
 
 
@@ -100,39 +104,65 @@ class Exemplars:
             for term in found:
                 self.index.setdefault(term, []).append(number)
         self.vocabulary = sorted(self.index)
-
-    def coverage(self, line: str, idf: dict[str, float], rare: float) -> tuple[float, bool]:
+        self._single = [t for t in self.vocabulary if len(t) == 1 and not t.isascii()]
+        self._words = frozenset(t for t in self.vocabulary if t.isascii())
+        self._first, self._second = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+        for term in self.vocabulary:
+            if not term.isascii():
+                self._first[ord(term[0])] = self._second[ord(term[-1])] = True
+
+    def terms_in(self, text: str) -> set[str]:
+        """The terms of the exemplars that occur in a text of any length: pairs of characters are looked up only where both stand in some term."""
+        lower = text.lower()
+        found = {"0" if any(c.isdigit() for c in w) else w for w in set(_LATIN.findall(lower))} & self._words
+        if not lower.isascii():
+            points = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), np.uint32)
+            at = np.flatnonzero(self._first[points[:-1]] & self._second[points[1:]])
+            found |= {lower[i : i + 2] for i in at.tolist()} & self.index.keys()
+            found |= {t for t in self._single if t in lower}
+        return found
+
+    def weigh(self, idf: dict[str, float], rare: float) -> None:
+        """Sets the weights of the exemplars' terms and that of any other term."""
+        self.idf, self.rare = idf, rare
+        self.masses = [sum(idf[t] for t in found) for _, found in self.items]
+
+    def coverage(self, line: str) -> tuple[float, bool]:
         """The share of the line's TF-IDF mass in exemplars of which it holds at least half, and whether a notice is among them."""
-        own = terms(line)
-        mass = sum(n * idf.get(t, rare) for t, n in own.items())
-        if not mass:
-            return 0.0, False
+        own, idf = terms(line), self.idf
+        known = {t: n * idf[t] for t, n in own.items() if t in idf}
+        mass = sum(known.values()) + self.rare * (own.total() - sum(own[t] for t in known))
+        if not known or sum(known.values()) < COVERED * mass:
+            return 0.0, False  # even all exemplars together wouldn't cover the line
         met: Counter[int] = Counter()
-        for term in own:
-            for number in self.index.get(term, ()):
+        for term in known:
+            for number in self.index[term]:
                 met[number] += idf[term]
         covered: set[str] = set()
         notice = False
         for number, weight in met.items():
-            label, found = self.items[number]
-            if weight >= 0.5 * sum(idf[t] for t in found):
-                covered |= found.keys() & own.keys()
+            if weight >= 0.5 * self.masses[number]:
+                label, found = self.items[number]
+                covered |= found.keys() & known.keys()
                 notice |= label == "notice"
-        return sum(n * idf.get(t, rare) for t, n in own.items() if t in covered) / mass, notice
+        return sum(known[t] for t in covered) / mass, notice
 
 
 def is_filler(text: str) -> bool:
     """Pseudo-Latin filler: its mark words, and hardly any of a language's function words."""
-    words = re.findall(r"[a-z]+", text.lower())
+    lower = text.lower()
+    if "lorem" not in lower and "ipsum" not in lower:
+        return False
+    words = re.findall(r"[a-z]+", lower)
     marks = sum(w in ("lorem", "ipsum") for w in words)
     return marks > 0 and len(words) >= 0.6 * len(re.findall(r"\w+", text)) and marks >= 0.01 * len(words) and sum(w in _FUNCTION for w in words) <= 0.05 * len(words)
 
 
-def residue_kind(text: str | None, exemplars: Exemplars, idf: dict[str, float], rare: float) -> str | None:
+def residue_kind(text: str | None, exemplars: Exemplars) -> str | None:
     """placeholder, filler or notice; null for real content and for null, empty and blank texts."""
     if not text or not text.strip():
         return None
-    if PLACEHOLDER.search(text):
+    if any(mark in text for mark in _OPENERS) and PLACEHOLDER.search(text):
         return "placeholder"
     if is_filler(text):
         return "filler"
@@ -146,7 +176,7 @@ def residue_kind(text: str | None, exemplars: Exemplars, idf: dict[str, float],
         if _STATUS.match(line):
             notices += 1
             continue
-        share, notice = exemplars.coverage(line, idf, rare)
+        share, notice = exemplars.coverage(line)
         if share >= COVERED:
             notices += notice
             frames += not notice
@@ -170,7 +200,7 @@ def inverse_frequencies(docs: DataFrame, exemplars: Exemplars) -> tuple[dict[str
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 total += 1
-                counts[[place[t] for t in terms(text).keys() & place.keys()]] += 1
+                counts[[place[t] for t in exemplars.terms_in(text)]] += 1
         held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *held.tolist()], pa.int32()), pa.array([total, *counts[held].tolist()], pa.int64())], names=["term", "n"])
 
@@ -185,11 +215,11 @@ def inverse_frequencies(docs: DataFrame, exemplars: Exemplars) -> tuple[dict[str
 def residue(docs: DataFrame) -> DataFrame:
     """``(doc_id, kind)`` of every document to exclude; see residue_kind. Repeated rows repeat; extra columns are ignored."""
     exemplars = Exemplars()
-    idf, rare = inverse_frequencies(docs, exemplars)
+    exemplars.weigh(*inverse_frequencies(docs, exemplars))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [residue_kind(text, exemplars, idf, rare) for text in batch.column(1).to_pylist()]
+            kinds = [residue_kind(text, exemplars) for text in batch.column(1).to_pylist()]
             keep = [i for i, kind in enumerate(kinds) if kind]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array([kinds[i] for i in keep], pa.string())], names=["doc_id", "kind"])
 
