@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ BINS = BANDS * WIDTH // ROUNDS
 #: Of the 126 bits of two sketches, so many agree at least; at a weighted similarity of 0.5 they do but for one pair in 400,000.
 LEAST_BITS = 72
 #: Cells of the table of document frequencies: 4 MB, whatever the corpus.
-CELLS, PART = 1 << 20, 1 << 16
+CELLS, PART, BRANCHES = 1 << 20, 1 << 16, 64
 _APART = re.compile(r"[\W_]+")
 _U = np.uint64
 _24 = _U((1 << 24) - 1)
@@ -147,10 +148,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cell.sort()
             once = cell[np.r_[True, cell[1:] != cell[:-1]]] if len(cell) else cell  # a text counts once for a cell
             counts += np.bincount(once % CELLS, minlength=CELLS)
+    branch = TaskContext.get().partitionId() % BRANCHES
     for part in range(CELLS // PART):
         cells = counts[part * PART : (part + 1) * PART]
         if cells.any():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([cells.tobytes()], pa.binary())], names=["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([branch], pa.int32()), pa.array([cells.tobytes()], pa.binary())], names=["part", "branch", "counts"])
 
 
 def document_frequencies(normed: DataFrame) -> np.ndarray:
@@ -163,7 +165,9 @@ def document_frequencies(normed: DataFrame) -> np.ndarray:
                 cells += np.frombuffer(value.as_buffer(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([cells.tobytes()], pa.binary())], names=["part", "counts"])
 
-    parts = normed.select("text").mapInArrow(_counted, "part int, counts binary").groupBy("part").applyInArrow(total, "part int, counts binary")
+    # a tree of sums: a task of the first level reads the counts of one branch of the input's partitions
+    counted = normed.select("text").mapInArrow(_counted, "part int, branch int, counts binary")
+    parts = counted.groupBy("part", "branch").applyInArrow(total, "part int, counts binary").groupBy("part").applyInArrow(total, "part int, counts binary")
     out = np.zeros(CELLS, np.int64)
     for row in parts.collect():
         out[row.part * PART : (row.part + 1) * PART] = np.frombuffer(row.counts, np.int64)
