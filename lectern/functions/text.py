@@ -288,6 +288,33 @@ def overlapped_chunks(text: Column, limit: int) -> Column:
     return F.aggregate(paragraphs(text), start, step, lambda acc: F.when(F.size(acc["open"]) > 0, F.concat(acc["done"], F.array(F.array_join(acc["open"], "\n\n")))).otherwise(acc["done"]))
 
 
+def translation_chunks(text: Column, limit: int) -> Column:
+    """Chunks of at most ``limit`` characters: cut before headings of level 4, longer ones at blank lines, longer ones anywhere; neighbours joined while they fit."""
+
+    def cut(part: Column) -> Column:
+        return F.when(F.length(part) <= limit, F.array(part)).otherwise(hard_split(part, limit))
+
+    pieces = F.flatten(F.transform(F.split(text, r"(?md)(?=^#### )"), lambda x: F.when(F.length(trimmed(x)) <= limit, F.array(trimmed(x))).otherwise(F.flatten(F.transform(paragraphs(x), cut)))))
+    return packed_paragraphs(F.filter(pieces, lambda x: x != ""), limit)
+
+
+def script_chunks(text: Column) -> Column:
+    """Parts before each heading of level 1 to 3; a part that is only a heading goes with the next one."""
+    parts = F.filter(F.transform(F.split(without_front_matter(text), r"(?md)(?=^#{1,3} )"), trimmed), lambda x: x != "")
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("held"))
+
+    def step(acc: Column, part: Column) -> Column:
+        joined = F.when(acc["held"] == "", part).otherwise(F.concat(acc["held"], F.lit("\n\n"), part))
+        bare = part.rlike(r"\A#{1,3} [^\n]*\z")
+        return F.struct(F.when(bare, acc["done"]).otherwise(F.concat(acc["done"], F.array(joined))).alias("done"), F.when(bare, joined).otherwise("").alias("held"))
+
+    return F.aggregate(parts, start, step, lambda acc: F.when(acc["held"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["held"]))))
+
+
+def without_fences(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"\A\s*```(?:text|markdown|json)?\s*", ""), r"\s*```\s*\z", "")
+
+
 def spread(parts: Column, groups: Column) -> Column:
     """An array split into ``groups`` even slices, the i-th from ``i*n//k`` to ``(i+1)*n//k``."""
     n = F.size(parts)
