@@ -19,11 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.operators.ordering import numbered
 from lectern.session import materialize
 
 MIN_DOCUMENTS = 8
 _DIGITS = re.compile("[0-9]+")
-_SCHEMA = "source string, id string, ord bigint, line_no bigint, form binary"
+_SCHEMA = "source string, id string, line_no bigint, form binary"
 
 
 def line_form(line: str) -> str:
@@ -36,32 +37,32 @@ def line_form(line: str) -> str:
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_128_digest
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
-        for source, key, ordinal, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        out: list[list] = [[], [], [], []]
+        for source, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             for number, line in enumerate(text.split("\n"), 1):
                 if form := line_form(line):
-                    for column, value in zip(out, (source, key, ordinal, number, digest(form.encode("utf-8", "surrogatepass"))), strict=True):
+                    for column, value in zip(out, (source, key, number, digest(form.encode("utf-8", "surrogatepass"))), strict=True):
                         column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-            names=["source", "id", "ord", "line_no", "form"],
+            [pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.int64(), pa.binary()), strict=True)],
+            names=["source", "id", "line_no", "form"],
         )
 
 
 def repeated_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """``(id, line_no)`` of each line whose form is in ``min_documents`` or more documents of its source.
 
-    ``docs`` has id, source_stem, ord and text. Documents are distinct by id;
-    a further delivery of an id counts under the id's smallest ord. Null texts
-    and sources, blank lines and empty tables give no rows; extra columns are
-    ignored.
+    ``docs`` has id, source_stem and text. Documents are distinct by id; their
+    ordinals are the ranks of their ids, so further deliveries of an id set the
+    same bit. Null ids, texts and sources, blank lines and empty tables give no
+    rows; extra columns are ignored.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col("source_stem").isNotNull() & F.col("id").isNotNull())
-    lines = materialize(rows.select("source_stem", "id", "ord", "text").mapInArrow(_forms, _SCHEMA), "lines")
+    lines = materialize(rows.select("source_stem", "id", "text").mapInArrow(_forms, _SCHEMA), "lines")
     # fewer rows than documents asked for can't reach the threshold: only the rest gets bitmaps
     often = lines.groupBy("source", "form").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents).select("source", "form")
-    first = docs.groupBy("id").agg(F.min("ord").alias("bit"))
-    held = materialize(lines.join(often, ["source", "form"], "left_semi").join(first, "id").select("source", "form", "id", "line_no", "bit"), "held")
+    ordinals = numbered(rows.select("id").distinct(), "id", name="bit")
+    held = materialize(lines.join(often, ["source", "form"], "left_semi").join(ordinals, "id").select("source", "form", "id", "line_no", "bit"), "held")
     held = held.withColumn("block", F.bitmap_bucket_number("bit")).withColumn("at", F.bitmap_bit_position("bit"))
     bitmaps = held.groupBy("source", "form", "block").agg(F.bitmap_construct_agg("at").alias("bits"))
     passed = bitmaps.groupBy("source", "form").agg(F.sum(F.bitmap_count("bits")).alias("n")).where(F.col("n") >= min_documents).select("source", "form")

@@ -71,8 +71,8 @@ def shared_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``(id, span_start, span_end)``: maximal runs of characters that lie in ``least`` or more consecutive ones found in a record of another id.
 
     Positions are code points from 0, the end is exclusive. Deliveries of one
-    id hold the same text and never share with each other. Null, empty and
-    shorter texts share nothing; extra columns are ignored.
+    id hold the same text and never share with each other. Null ids, and null,
+    empty and shorter texts share nothing; extra columns are ignored.
     """
 
     def edges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +92,7 @@ def shared_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 columns = [np.array([x[c] for x in wanted], np.int64)[which] for c in ("node", "edge", "low", "high")]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*columns, step, grams[starts[which] + step])], names=["node", "edge", "low", "high", "step", "gram"])
 
-    texts = docs.select("id", "text").where(F.length("text") >= least)
+    texts = docs.select("id", "text").where(F.col("id").isNotNull() & (F.length("text") >= least))
     edges = materialize(texts.mapInArrow(edges_of, "id string, start bigint, windows bigint, node bigint, edge bigint"), "edges")
     doc = F.xxhash64("id")
     nodes = (
