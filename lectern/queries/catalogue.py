@@ -39,8 +39,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return added
 
 
+def of_sections(spark: SparkSession, base: str, **columns: Column | str) -> DataFrame:
+    """What is computed of each section, each id once: computed where the section is read, so that results are shuffled and not texts."""
+    made = [F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()]
+    return table(spark, base, "sections").select(*made).distinct()
+
+
 def first_deliveries(sections: DataFrame, *columns: str) -> DataFrame:
-    """Each id once, as first delivered, with these columns; the aggregate combines map-side and carries no more than they need."""
+    """Each id once, as first delivered, with these columns, for what depends on ord; the aggregate combines map-side and carries no more than they need."""
     rest = [c for c in dict.fromkeys(columns) if c not in ("id", "ord")]
     best = sections.groupBy("id").agg(F.min_by(F.struct("ord", *rest), "ord").alias("s"))
     return best.select("id", "s.*")
@@ -51,6 +57,10 @@ def _bucket(rest: str = "heading_path") -> str:
     return f"(CASE {cases} ELSE 'other' END)".replace("contains(j,", f"contains(array_to_string({rest}, ''),")
 
 
+def _path() -> Column:
+    return F.coalesce("heading_path", F.array().cast("array<string>"))
+
+
 # --- scans, counts and hashes ---------------------------------------------------------------------
 
 
@@ -101,25 +111,22 @@ def source_table(spark: SparkSession, base: str) -> DataFrame:
 @query(f"""SELECT id AS section_id, CASE WHEN length(f) > 40 THEN substr(f, 1, 40) || '……' ELSE f END AS excerpt
   FROM (SELECT id, regexp_replace(text, '{_WS}+', '', 'g') AS f FROM {_SECTIONS})""")
 def excerpts(spark: SparkSession, base: str) -> DataFrame:
-    return first_deliveries(table(spark, base, "sections"), "text").select(F.col("id").alias("section_id"), T.excerpt(F.col("text")).alias("excerpt"))
+    return of_sections(spark, base, section_id="id", excerpt=T.excerpt(F.col("text")))
 
 
 @query(f"SELECT id AS section_id, {_bucket()} AS bucket FROM {_SECTIONS}")
 def primary_buckets(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path")
-    return rows.select(F.col("id").alias("section_id"), inventory.primary_bucket(F.coalesce("heading_path", F.array().cast("array<string>")), inventory.LEXICON).alias("bucket"))
+    return of_sections(spark, base, section_id="id", bucket=inventory.primary_bucket(_path(), inventory.LEXICON))
 
 
 @query("SELECT id AS section_id, array_to_string(list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(array_to_string(heading_path, ''), '{p}')" for p in ps) + f" THEN '{b}' END" for b, ps in inventory.LEXICON.items()) + f"], lambda x: x IS NOT NULL), ',') AS keywords FROM {_SECTIONS}")
 def keyword_buckets(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path")
-    return rows.select(F.col("id").alias("section_id"), F.array_join(inventory.keywords(F.coalesce("heading_path", F.array().cast("array<string>")), inventory.LEXICON), ",").alias("keywords"))
+    return of_sections(spark, base, section_id="id", keywords=F.array_join(inventory.keywords(_path(), inventory.LEXICON), ","))
 
 
 @query(f"SELECT bucket, count(*) AS rows FROM (SELECT {_bucket()} AS bucket FROM {_SECTIONS}) GROUP BY bucket")
 def bucket_counts(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path").withColumn("heading_path", F.coalesce("heading_path", F.array().cast("array<string>")))
-    return inventory.bucket_counts(rows, inventory.LEXICON).select("bucket", "rows")
+    return inventory.bucket_counts(of_sections(spark, base, id="id", heading_path=_path()), inventory.LEXICON).select("bucket", "rows")
 
 
 @query(f"""SELECT id, regexp_matches(t, '{predicates.CHAPTER}') AS chapter, regexp_matches(t, '{predicates.SECTION}') AS section, p AS numbered,
@@ -127,19 +134,18 @@ def bucket_counts(spark: SparkSession, base: str) -> DataFrame:
   FROM (SELECT id, text, t, CASE WHEN n = '' THEN NULL ELSE len(regexp_extract_all(n, '[.．-]')) + 1 END AS p FROM (SELECT id, text, t, regexp_extract(t, '^(\\p{{Nd}}+(?:[.．-]\\p{{Nd}}+)+)(?:[^\\p{{L}}\\p{{N}}_]|$)', 1) AS n FROM
   (SELECT id, text, regexp_replace(regexp_replace(regexp_replace(heading_path[-1], '[*_`]+', '', 'g'), '{_WS}+', ' ', 'g'), '^ | $', '', 'g') AS t FROM {_SECTIONS} WHERE len(heading_path) > 0)))""")
 def heading_flags(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path", "text").where(F.size("heading_path") > 0)
-    title = F.element_at("heading_path", -1)
-    return rows.select(
-        "id", predicates.is_chapter(title).alias("chapter"), predicates.is_section(title).alias("section"), predicates.numbered_depth(title).cast("bigint").alias("numbered"), F.coalesce(predicates.has_choices(F.col("text")), F.lit(False)).alias("choices")
+    title = F.try_element_at("heading_path", F.lit(-1))
+    rows = of_sections(
+        spark, base, id="id", chapter=predicates.is_chapter(title), section=predicates.is_section(title), numbered=predicates.numbered_depth(title).cast("bigint"), choices=F.coalesce(predicates.has_choices(F.col("text")), F.lit(False))
     )
+    return rows.where(F.col("chapter").isNotNull())
 
 
 @query()
 def section_kinds(spark: SparkSession, base: str) -> DataFrame:
     """The kind that a section's own title and text give, and the structural level of its title."""
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path", "level", "text")
     title = F.coalesce(F.try_element_at("heading_path", F.lit(-1)), F.lit(""))
-    return rows.select("id", predicates.section_kind(title, F.coalesce("text", F.lit(""))).alias("kind"), predicates.structural_level(title, F.coalesce("level", F.lit(1))).alias("level"))
+    return of_sections(spark, base, id="id", kind=predicates.section_kind(title, F.coalesce("text", F.lit(""))), level=predicates.structural_level(title, F.coalesce("level", F.lit(1))))
 
 
 # --- text statistics ------------------------------------------------------------------------------
@@ -203,29 +209,33 @@ def token_budgets(spark: SparkSession, base: str) -> DataFrame:
 # --- facts ----------------------------------------------------------------------------------------
 
 
+def _names() -> Column:
+    return F.regexp_extract_all("text", F.lit(f"[{T.HAN}]{{1,4}}·[{T.HAN}]{{1,4}}"), F.lit(0))
+
+
 @query(f"SELECT name, count(*) AS mentions, count(DISTINCT id) AS sections FROM (SELECT id, unnest(regexp_extract_all(text, '{_HAN}{{1,4}}·{_HAN}{{1,4}}')) AS name FROM {_SECTIONS}) GROUP BY name")
 def name_mentions(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "text")
-    names = rows.select("id", F.explode(F.regexp_extract_all("text", F.lit(f"[{T.HAN}]{{1,4}}·[{T.HAN}]{{1,4}}"), F.lit(0))).alias("name"))
+    names = of_sections(spark, base, id="id", names=_names()).select("id", F.explode("names").alias("name"))
     return names.groupBy("name").agg(F.count("*").alias("mentions"), F.countDistinct("id").alias("sections"))
 
 
 @query()
 def coverage_tokens(spark: SparkSession, base: str) -> DataFrame:
     """The facts of each section that is no duplicate, by family."""
-    rows = first_deliveries(table(spark, base, "sections"), "text", "duplicate_of").where(F.col("text").isNotNull() & F.col("duplicate_of").isNull())
-    families = coverage.token_families(F.col("text"))
-    return rows.select("id", *(F.size(families[name]).alias(name) for name in coverage.FAMILIES), F.array_join(coverage.flat_tokens(families), "|").alias("tokens"))
+    rows = table(spark, base, "sections").where(F.col("text").isNotNull() & F.col("duplicate_of").isNull())
+    found = rows.select("id", coverage.token_families(F.col("text")).alias("f"))
+    return found.select("id", *(F.size(f"f.{name}").alias(name) for name in coverage.FAMILIES), F.array_join(coverage.flat_tokens(F.col("f")), "|").alias("tokens")).distinct()
 
 
 @query(f"""SELECT c.id, n.name FROM {_SECTIONS} c JOIN (SELECT DISTINCT id AS oid, unnest(regexp_extract_all(text, '{_HAN}{{1,4}}·{_HAN}{{1,4}}')) AS name FROM {_SECTIONS}) n ON c.duplicate_of = n.oid
   WHERE c.id <> c.duplicate_of AND c.text IS NOT NULL AND NOT contains(c.text, n.name)""")
 def missing_names(spark: SparkSession, base: str) -> DataFrame:
     """Names of a section that a section marked as its duplicate doesn't hold."""
-    rows = first_deliveries(table(spark, base, "sections"), "text", "duplicate_of")
-    required = rows.select(F.col("id").alias("oid"), F.array_distinct(F.regexp_extract_all("text", F.lit(f"[{T.HAN}]{{1,4}}·[{T.HAN}]{{1,4}}"), F.lit(0))).alias("required"))
-    copies = rows.where((F.col("id") != F.col("duplicate_of")) & F.col("text").isNotNull()).join(required, F.col("duplicate_of") == F.col("oid"))
-    return copies.select("id", F.explode(F.filter("required", lambda t: ~F.contains(F.col("text"), t))).alias("name"))
+    rows = table(spark, base, "sections")
+    copies = rows.where((F.col("id") != F.col("duplicate_of")) & F.col("text").isNotNull()).select("id", "text", "duplicate_of")
+    required = of_sections(spark, base, oid="id", required=F.array_distinct(_names()))
+    both = copies.join(required, F.col("duplicate_of") == F.col("oid"))
+    return both.select("id", F.explode(F.filter("required", lambda t: ~F.contains(F.col("text"), t))).alias("name")).distinct()
 
 
 # --- order within sources -------------------------------------------------------------------------
@@ -278,30 +288,30 @@ def heading_packs(spark: SparkSession, base: str) -> DataFrame:
 # --- groups of a node -----------------------------------------------------------------------------
 
 
-def _assigned(spark: SparkSession, base: str, *columns: str) -> DataFrame:
-    """Sections assigned to the node of their bucket."""
-    rows = first_deliveries(table(spark, base, "sections"), "kind", "heading_path", *columns)
-    node = inventory.primary_bucket(F.coalesce("heading_path", F.array().cast("array<string>")), inventory.LEXICON)
-    assignments = rows.select(F.col("id").alias("section_id"), F.concat(F.lit("s-"), node).alias("primary_node_id"), "ord")
-    return merge.gathered(assignments, rows)
+def _assigned(spark: SparkSession, base: str, **columns: Column | str) -> DataFrame:
+    """Sections, with these columns, assigned to the node of their bucket."""
+    node = F.concat(F.lit("s-"), inventory.primary_bucket(_path(), inventory.LEXICON))
+    assignments = of_sections(spark, base, section_id="id", primary_node_id=node).withColumn("ord", F.lit(0))
+    return merge.gathered(assignments, of_sections(spark, base, id="id", kind="kind", **columns))
 
 
 @query(f"""SELECT 's-' || {_bucket()} AS node_id, count(*) AS members, sum(length(text))::BIGINT AS chars, count(DISTINCT source_stem) AS stems FROM {_SECTIONS} WHERE kind IN ('body', 'preface', 'skill_test') GROUP BY ALL""")
 def gathered_members(spark: SparkSession, base: str) -> DataFrame:
-    return _assigned(spark, base, "text", "source_stem").groupBy("node_id").agg(F.count("*").alias("members"), F.sum(F.length("text")).alias("chars"), F.countDistinct("source_stem").alias("stems"))
+    rows = _assigned(spark, base, chars=F.length("text"), source_stem="source_stem")
+    return rows.groupBy("node_id").agg(F.count("*").alias("members"), F.sum("chars").alias("chars"), F.countDistinct("source_stem").alias("stems"))
 
 
 @query(f"""SELECT node_id, count(*) AS members FROM (SELECT *, max(CASE WHEN duplicate_of IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY node_id, k) AS has FROM
   (SELECT 's-' || {_bucket()} AS node_id, heading_path[1] AS k, duplicate_of FROM {_SECTIONS} WHERE kind IN ('body', 'preface', 'skill_test'))) WHERE duplicate_of IS NULL OR has = 0 GROUP BY node_id""")
 def unique_members(spark: SparkSession, base: str) -> DataFrame:
-    rows = _assigned(spark, base, "duplicate_of").withColumn("k", F.coalesce(F.try_element_at("heading_path", F.lit(1)), F.lit("\x00")))
+    rows = _assigned(spark, base, duplicate_of="duplicate_of", k=F.coalesce(F.try_element_at("heading_path", F.lit(1)), F.lit("\x00")))
     return merge.unique_members(rows, ["node_id", "k"]).groupBy("node_id").agg(F.count("*").alias("members"))
 
 
 @query()
 def required_facts(spark: SparkSession, base: str) -> DataFrame:
     """The facts that the merged text of each group of a heading must keep, among members that are no duplicates."""
-    rows = _assigned(spark, base, "text", "duplicate_of").where(F.col("text").isNotNull()).withColumn("heading", T.heading_path_key(F.slice("heading_path", 1, 1)))
+    rows = _assigned(spark, base, text="text", duplicate_of="duplicate_of", chapter=F.slice(_path(), 1, 1)).where(F.col("text").isNotNull()).withColumn("heading", T.heading_path_key(F.col("chapter")))
     found = merge.required_tokens(merge.unique_members(rows, ["node_id", "heading"]), ["node_id", "heading"])
     return found.select("node_id", "heading", F.size("required").alias("facts"))
 
@@ -310,8 +320,8 @@ def required_facts(spark: SparkSession, base: str) -> DataFrame:
   (SELECT out_chars::DOUBLE / nullif(union_chars, 0) AS r, overlap AS o FROM (SELECT source_stem, max(length(text)) AS out_chars, sum(length(text)) AS union_chars, count(duplicate_of)::DOUBLE / count(*) AS overlap FROM {_SECTIONS} GROUP BY source_stem))""")
 def size_canary(spark: SparkSession, base: str) -> DataFrame:
     """The canary of merged sizes, with each source as a node, its longest text as what was merged."""
-    rows = first_deliveries(table(spark, base, "sections"), "source_stem", "text", "duplicate_of")
-    meta = rows.groupBy("source_stem").agg(F.max(F.length("text")).alias("out_chars"), F.sum(F.length("text")).alias("union_chars"), (F.count("duplicate_of") / F.count("*")).alias("overlap"))
+    rows = of_sections(spark, base, id="id", source_stem="source_stem", size=F.length("text"), duplicate_of="duplicate_of")
+    meta = rows.groupBy("source_stem").agg(F.max("size").alias("out_chars"), F.sum("size").alias("union_chars"), (F.count("duplicate_of") / F.count("*")).alias("overlap"))
     return merge.canary(meta).select(F.round("median_ratio", 9).alias("median_ratio"), F.round("median_overlap", 9).alias("median_overlap"), "failed")
 
 
@@ -323,9 +333,11 @@ def size_canary(spark: SparkSession, base: str) -> DataFrame:
   (SELECT *, regexp_replace(text, '{_WORDS}', '', 'g') AS t FROM {_SECTIONS}) x JOIN (SELECT *, regexp_replace(text, '{_WORDS}', '', 'g') AS t FROM {_SECTIONS}) y ON x.duplicate_of = y.id WHERE x.id <> y.id AND x.t IS NOT NULL AND y.t IS NOT NULL)""")
 def duplicate_similarity(spark: SparkSession, base: str) -> DataFrame:
     """How similar each section is to the one it is marked as a duplicate of."""
-    rows = first_deliveries(table(spark, base, "sections"), "text", "duplicate_of").where(F.col("text").isNotNull()).withColumn("t", F.regexp_replace("text", T.NOT_WORD, ""))
-    other = rows.select(F.col("id").alias("oid"), F.col("t").alias("u"))
-    both = rows.join(other, (F.col("duplicate_of") == F.col("oid")) & (F.col("id") != F.col("oid")))
+    rows = table(spark, base, "sections").where(F.col("text").isNotNull()).select("id", "duplicate_of", F.regexp_replace("text", T.NOT_WORD, "").alias("t"))
+    copies = rows.where(F.col("id") != F.col("duplicate_of"))
+    wanted = copies.select(F.col("duplicate_of").alias("id")).distinct()
+    other = rows.join(wanted, "id", "left_semi").select(F.col("id").alias("oid"), F.col("t").alias("u")).dropDuplicates(["oid"])
+    both = copies.dropDuplicates(["id"]).join(other, F.col("duplicate_of") == F.col("oid"))
     return both.select("id", F.round(similarity.exact_jaccard(similarity.shingle_set(F.col("t")), similarity.shingle_set(F.col("u"))), 9).alias("jaccard"))
 
 
@@ -340,12 +352,12 @@ def duplicate_of_components(spark: SparkSession, base: str) -> DataFrame:
 
 @query()
 def minhash_signatures(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "text")
-    return similarity.signatures(rows).select("id", F.size("signature").alias("slots"), F.array_join("signature", ",").alias("signature"))
+    signed = similarity.signatures(table(spark, base, "sections").select("id", "text"))
+    return signed.select("id", F.size("signature").alias("slots"), F.array_join("signature", ",").alias("signature")).distinct()
 
 
 def _overlap(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    rows = first_deliveries(table(spark, base, "sections"), "text", "source_stem").withColumn("char_count", F.length("text"))
+    rows = table(spark, base, "sections").select("id", "text", "source_stem", F.length("text").alias("char_count"))
     return rows, materialize(similarity.overlap_pairs(rows), "pairs")
 
 
@@ -372,17 +384,17 @@ def dominant_stem_pair(spark: SparkSession, base: str) -> DataFrame:
   {{}} AS c, {{}} AS s FROM {_SECTIONS}) GROUP BY bucket""".format(*(f"coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(heading_path[{i}], '[*_`]+', '', 'g'), '{_WS.replace('{', '{{').replace('}', '}}')}+', ' ', 'g'), '^ | $', '', 'g'), ''), 'body')".replace("{{", "{").replace("}}", "}") for i in (1, 2))))
 def outline_counts(spark: SparkSession, base: str) -> DataFrame:
     """Parts, chapters and sections of the fallback outline of each bucket."""
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path").withColumn("heading_path", F.coalesce("heading_path", F.array().cast("array<string>")))
+    rows = first_deliveries(table(spark, base, "sections"), "heading_path").withColumn("heading_path", _path())
     return outline.counts(outline.fallback_outline(rows, inventory.LEXICON), "bucket")
 
 
 @query()
 def preseeded_headings(spark: SparkSession, base: str) -> DataFrame:
     """Headings that the outline's titles place without a model."""
-    rows = first_deliveries(table(spark, base, "sections"), "heading_path").withColumn("heading_path", F.coalesce("heading_path", F.array().cast("array<string>")))
+    rows = of_sections(spark, base, section_id="id", heading_path=_path())
     flat = spark.createDataFrame([(f"s-{b.replace('_', '-')}", b.replace("_", " ").title(), ps[0]) for b, ps in inventory.LEXICON.items()], "node_id string, title_en string, title_zh string")
     matched = outline.bucket_nodes(flat, inventory.lexicon_rows(spark, inventory.LEXICON))
-    return outline.preseeded(rows.withColumnRenamed("id", "section_id"), matched, inventory.LEXICON)
+    return outline.preseeded(rows, matched, inventory.LEXICON)
 
 
 @query("""SELECT cache_key, json_array_length(response_text, '$.assignments')::BIGINT AS rows FROM (SELECT DISTINCT cache_key, response_text FROM llm_cache WHERE key.stage = 'assign') WHERE json_valid(response_text) AND json_array_length(response_text, '$.assignments') > 0""")
@@ -411,14 +423,15 @@ def assembled_books(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"""SELECT source_stem, sha256(string_agg('### ' || array_to_string(heading_path, ' / ') || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY start_line, id)) AS quiz_hash, count(*) AS quizzes FROM {_SECTIONS} WHERE kind = 'quiz' GROUP BY source_stem""")
 def quiz_appendix(spark: SparkSession, base: str) -> DataFrame:
-    rows = first_deliveries(table(spark, base, "sections"), "source_stem", "kind", "heading_path", "text", "start_line")
-    counts = rows.where("kind = 'quiz'").groupBy("source_stem").agg(F.count("*").alias("quizzes"))
+    rows = table(spark, base, "sections").where("kind = 'quiz'").select("id", "source_stem", "kind", "heading_path", "text", "start_line").distinct()
+    counts = rows.groupBy("source_stem").agg(F.count("*").alias("quizzes"))
     return assemble.quizzes(rows).join(counts, "source_stem").select("source_stem", F.sha2("text", 256).alias("quiz_hash"), "quizzes")
 
 
 @query(f"""SELECT title, count(*) AS mentions FROM (SELECT unnest(regexp_extract_all(text, '《([^》]{{1,80}})》', 1)) AS title FROM (SELECT text FROM {_SECTIONS} WHERE kind = 'bibliography' UNION ALL SELECT text FROM (SELECT DISTINCT * FROM dropped))) GROUP BY title""")
 def cited_titles(spark: SparkSession, base: str) -> DataFrame:
-    return assemble.cited_titles(first_deliveries(table(spark, base, "sections"), "kind", "text"), table(spark, base, "dropped"))
+    rows = table(spark, base, "sections").where("kind = 'bibliography'").select("id", "kind", "text")
+    return assemble.cited_titles(rows, table(spark, base, "dropped"))
 
 
 @query()
