@@ -245,3 +245,20 @@ def test_split_oversized(spark):
     assert "i000" not in got and [len(got[f"i00{n}"]) for n in (1, 2)] == [1, 1] and len(got["i003"]) == 2 and len(got["i004"]) > 75
     assert all(r.end - r.start == len(r.piece) <= 4000 for rows in got.values() for r in rows)
     assert splitting.split_oversized(df.limit(0)).count() == 0
+
+
+# --- hot groups -----------------------------------------------------------------------------------------------
+
+
+def test_a_third_of_all_rows_alike(spark):
+    hot = han(200, 50) + "\n请分享本页\n" + han(100, 51)
+    texts = [hot if n % 3 == 0 else han(150, 1000 + n) for n in range(300)]
+    df = simple(spark, texts)
+    found = spans.shared_spans(df).collect()
+    assert {(r.id, r.span_start, r.span_end) for r in found} == {(f"i{n:03d}", 0, len(hot)) for n in range(0, 300, 3)}
+    assert lines.repeated_lines(df).count() == 300
+    members, links = near.near_classes(df)
+    assert links.count() == 0 and members.groupBy("doc").count().agg(F.max("count")).first()[0] == 100
+    chained = sections(spark, [(n, f"i{n:03d}", "s-1", "书", None, "x" * n, "i299" if n < 299 else None) for n in range(300)])
+    imprints = spark.createDataFrame([("s", 1)], "imprint string, trust int")
+    assert [tuple(r) for r in survivorship.survivors(chained, imprints).collect()] == [("i000", "i299", "书")]
