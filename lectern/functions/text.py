@@ -322,6 +322,11 @@ def spread(parts: Column, groups: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), groups - 1), lambda i: F.slice(parts, bound(i) + 1, bound(i + 1) - bound(i)))
 
 
+def humanized(name: Column) -> Column:
+    """A topic's name as a title."""
+    return F.initcap(F.translate(name, "-_", "  "))
+
+
 def yaml_quoted(value: Column) -> Column:
     special = (value == "") | value.rlike(r"""[:#\[\]{},&*!|>'"%@`\\]|^[\s?-]|\s$""")
     escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))

@@ -98,3 +98,31 @@ def aligned(left: DataFrame, right: DataFrame, key: str = "pos") -> DataFrame:
     """Two documents' parts by position; ``matched`` is false where one has no counterpart."""
     a, b = left.select(key, F.col("title").alias("title_a"), F.col("body").alias("body_a")), right.select(key, F.col("title").alias("title_b"), F.col("body").alias("body_b"))
     return a.join(b, key, "full").withColumn("matched", F.col("body_a").isNotNull() & F.col("body_b").isNotNull())
+
+
+def present_appendices(texts: DataFrame, with_topic: bool = False) -> DataFrame:
+    """The appendices that have a text, with their place; the one about the topic only if asked for."""
+    order = texts.sparkSession.createDataFrame([(i, name) for i, (name, *_) in enumerate(APPENDICES) if with_topic or "topic" not in name], "place int, blob_id string")
+    return texts.where(T.trimmed(F.coalesce("text", F.lit(""))) != "").join(F.broadcast(order), "blob_id")
+
+
+def wrapped_appendix(body: Column, title: str) -> Column:
+    """An appendix under its title at level 2, once."""
+    bare = T.trimmed(body)
+    return F.when(bare.rlike(rf"\A## {title}(?:\n|\z)"), bare).otherwise(F.concat(F.lit(f"## {title}\n\n"), bare))
+
+
+def deterministic_appendices(sections: DataFrame, dropped: DataFrame, sources: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """``(blob_id, text)`` of the appendices that need no model: sources, quizzes, conflicts, bibliography."""
+    quiz = ordered_text(quizzes(sections), [], ["source_stem"], "text")
+    clash = ordered_text(conflict_blocks(conflicts), [], ["id"], "block")
+    shelf = sections.where(F.col("kind") == "bibliography").dropDuplicates(["id"])
+    books = ordered_text(cited_titles(sections, dropped).withColumn("line", F.concat(F.lit("- 《"), "title", F.lit("》"))), [], ["title"], "line", "\n")
+    texts = ordered_text(shelf, [], ["source_stem", "start_line", "id"], "text")
+    rows = (
+        source_table(sources).select(F.lit(APPENDICES[0][0]).alias("blob_id"), F.col("markdown").alias("text"))
+        .unionByName(quiz.select(F.lit(APPENDICES[1][0]).alias("blob_id"), "text"))
+        .unionByName(clash.select(F.lit(APPENDICES[3][0]).alias("blob_id"), "text"))
+        .unionByName(texts.unionByName(books).where("text <> ''").agg(F.array_join(F.collect_list("text"), "\n\n").alias("text")).select(F.lit(APPENDICES[4][0]).alias("blob_id"), "text"))
+    )
+    return rows.where(F.coalesce("text", F.lit("")) != "")

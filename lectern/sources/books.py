@@ -6,7 +6,7 @@ import re
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators.sections import SECTION_ROW
@@ -40,7 +40,7 @@ def books(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return rows.select("path", "stem", "sha256", "bytes", F.length("text").cast("bigint").alias("chars"), line_count(F.col("text")).alias("physical_lines"), "text", "modified")
 
 
-def line_count(text):  # noqa: ANN001, ANN201
+def line_count(text: Column) -> Column:
     """Lines of a text; the last one needs no line end."""
     return F.when(text == "", 0).otherwise(F.regexp_count(text, F.lit("\n")) + F.when(text.endswith("\n"), 0).otherwise(1)).cast("bigint")
 
@@ -90,6 +90,16 @@ def publish(df: DataFrame, path: str, format: str = "parquet", partition_by: lis
     fs.delete(old, True)
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """JSON lines added to a table, such as conflicts or token samples; a job's files appear together when it commits."""
+    df.write.mode("append").json(path)
+
+
+def reset_rows(df: DataFrame, path: str) -> None:
+    """The table with these rows only, so that a rerun repeats nothing."""
+    df.write.mode("overwrite").json(path)
+
+
 def publish_texts(texts: dict[str, str], folder: str) -> None:
     """Small finished documents, all staged before the first is renamed."""
     root = Path(folder)

@@ -52,6 +52,23 @@ def test_conflicts_skip_bad_lines(spark, tmp_path):
     assert [r.id for r in books.read_conflicts(spark, str(path)).collect()] == ["a"]
 
 
+def test_appended_rows(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    books.append_rows(spark.createDataFrame([(10, 5)], "chars_out int, output_tokens int"), path)
+    books.append_rows(spark.createDataFrame([(20, 5)], "chars_out int, output_tokens int"), path)
+    assert sorted(r.chars_out for r in books.read_token_stats(spark, path).collect()) == [10.0, 20.0]
+    books.reset_rows(spark.createDataFrame([(1, 1)], "chars_out int, output_tokens int"), path)
+    assert books.read_token_stats(spark, path).count() == 1
+
+
+def test_command_line(tmp_path, capsys):
+    from lectern.__main__ import main
+
+    assert main(["../bad", "--books", str(tmp_path), "--out", str(tmp_path / "o")]) == 2
+    assert main(["topic", "--books", str(tmp_path), "--out", str(tmp_path / "o"), "--dry-run"]) == 0
+    assert capsys.readouterr().out.split() == ["discover", "extract", "inventory"]
+
+
 def test_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert materialize(spark.range(5).selectExpr("id", "map('a', id) m")).count() == 5

@@ -123,3 +123,18 @@ def test_assembly(spark, tree):
     assert assemble.source_table(sources).first().markdown.splitlines()[2:] == ["| a | 1 | h1 |", "| b | 2 | h2 |"]
     left = spark.createDataFrame([(0, "A", "x"), (1, "B", "y")], "pos int, title string, body string")
     assert [r.matched for r in assemble.aligned(left, left.where("pos = 0")).orderBy("pos").collect()] == [True, False]
+
+
+def test_appendices(spark):
+    rows = spark.createDataFrame([("q", "s1", "quiz", ["测试"], "题", 1), ("b", "s1", "bibliography", ["书目"], "见《甲》", 2)], "id string, source_stem string, kind string, heading_path array<string>, text string, start_line int")
+    dropped = spark.createDataFrame([("《乙》和《甲》",)], "text string")
+    sources = spark.createDataFrame([("a", 1, "h")], "stem string, bytes int, sha256 string")
+    conflict = "id string, claim_a struct<source:string,text:string>, claim_b struct<source:string,text:string>, inline_tag string"
+    clashes = spark.createDataFrame([("c1", ("s", "x"), ("t", "y"), "[c1]")], conflict)
+    got = assemble.deterministic_appendices(rows, dropped, sources, clashes).cache()
+    texts = {r.blob_id[:10]: r.text for r in got.collect()}
+    assert texts["appendix-b"] == "### 测试\n\n题" and texts["appendix-d"] == "### c1\n\n- s：x\n- t：y\n\n[c1]" and "见《甲》" in texts["appendix-e"] and "- 《乙》" in texts["appendix-e"]
+    assert [r.place for r in assemble.present_appendices(got).orderBy("place").collect()] == [0, 1, 3, 4]
+    assert assemble.deterministic_appendices(rows.limit(0), dropped.limit(0), sources, clashes.limit(0)).count() == 1
+    wrapped = got.where("blob_id like '%-b-%'").select(assemble.wrapped_appendix(F.col("text"), "测试").alias("w"))
+    assert wrapped.select(assemble.wrapped_appendix(F.col("w"), "测试")).first() == wrapped.first()
