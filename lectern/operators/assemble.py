@@ -32,11 +32,11 @@ def conflict_blocks(conflicts: DataFrame) -> DataFrame:
     return conflicts.select("id", block.alias("block"))
 
 
-def quizzes(sections: DataFrame) -> DataFrame:
-    """The quiz sections of each source as one text, by place in the source."""
+def quizzes(sections: DataFrame, group: tuple[str, ...] | list[str] = ("source_stem",)) -> DataFrame:
+    """The quiz sections of each group, by default a source, as one text, by place in the source."""
     rows = sections.where(F.col("kind") == "quiz").dropDuplicates(["id"])
     title = F.concat(F.lit("### "), F.array_join("heading_path", " / "), F.lit("\n\n"), F.coalesce("text", F.lit("")))
-    return ordered_text(rows.withColumn("block", title), ["source_stem"], ["start_line", "id"], "block")
+    return ordered_text(rows.withColumn("block", title), list(group), ["start_line", "id"], "block")
 
 
 def cited_titles(sections: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -59,11 +59,15 @@ def union_metrics(members: DataFrame, pairs: DataFrame, group: list[str]) -> Dat
     return sums.join(means, group, "left").select(*group, "leaf_chars", F.coalesce("overlap", F.lit(0.0)).alias("overlap"), union.alias("union_chars"), (union * SIZE_FLOOR).alias("size_floor"))
 
 
-def required_tokens(members: DataFrame, group: list[str]) -> DataFrame:
-    """``(group, required)``: the distinct facts of a group's texts. Tokens are exploded and deduplicated map-side, so a group's texts are never gathered."""
+def required_token_rows(members: DataFrame, group: list[str]) -> DataFrame:
+    """``(group, token, first)``: each fact of a group's texts once, with where it stands first. Tokens are deduplicated map-side; a group of any size is never gathered."""
     rows = members.select(*group, F.posexplode(coverage.flat_tokens(coverage.token_families(F.col("text")))).alias("at", "token"), "id")
-    firsts = rows.groupBy(*group, "token").agg(F.min(F.struct("id", "at")).alias("first"))
-    return firsts.groupBy(*group).agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "token"))), lambda x: x["token"]).alias("required"))
+    return rows.groupBy(*group, "token").agg(F.min(F.struct("id", "at")).alias("first"))
+
+
+def required_tokens(members: DataFrame, group: list[str]) -> DataFrame:
+    """``(group, required)``: the facts as one array, for groups that are to be merged, which fit a model call."""
+    return required_token_rows(members, group).groupBy(*group).agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "token"))), lambda x: x["token"]).alias("required"))
 
 
 def source_block(stem: Column, text: Column) -> Column:

@@ -11,7 +11,7 @@ from lectern.functions import budget, coverage, predicates
 from lectern.functions import text as T
 from lectern.operators import assemble, inventory, merge, outline, sections, similarity
 from lectern.operators.components import connected_components
-from lectern.operators.ordering import blocked, in_block, over_blocks
+from lectern.operators.ordering import BLOCK, blocked, in_block, over_blocks
 from lectern.plans.provider import FakeProvider, compacted, completed
 from lectern.session import materialize, table
 from lectern.sources.books import line_count
@@ -312,8 +312,8 @@ def unique_members(spark: SparkSession, base: str) -> DataFrame:
 def required_facts(spark: SparkSession, base: str) -> DataFrame:
     """The facts that the merged text of each group of a heading must keep, among members that are no duplicates."""
     rows = _assigned(spark, base, text="text", duplicate_of="duplicate_of", chapter=F.slice(_path(), 1, 1)).where(F.col("text").isNotNull()).withColumn("heading", T.heading_path_key(F.col("chapter")))
-    found = merge.required_tokens(merge.unique_members(rows, ["node_id", "heading"]), ["node_id", "heading"])
-    return found.select("node_id", "heading", F.size("required").alias("facts"))
+    found = merge.required_token_rows(merge.unique_members(rows, ["node_id", "heading"]), ["node_id", "heading"])
+    return found.groupBy("node_id", "heading").agg(F.count("*").alias("facts"))
 
 
 @query(f"""SELECT round(median(r), 9) AS median_ratio, round(median(o), 9) AS median_overlap, coalesce(median(r) < 0.5 AND median(o) < 0.3, false) AS failed FROM
@@ -412,20 +412,28 @@ def parsed_merges(spark: SparkSession, base: str) -> DataFrame:
     return parsed.select("cache_key", F.length("m.markdown").alias("chars"), F.size("m.conflicts").alias("conflicts"), F.size(T.headings(F.col("m.markdown"))).alias("headings"))
 
 
-@query(f"""SELECT source_stem, length(t)::BIGINT AS chars, sha256(t) AS document_hash FROM (SELECT source_stem, string_agg(repeat('#', least(coalesce(level, 1) + 1, 6)) || ' ' || coalesce(heading_path[-1], '') || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY ord) AS t FROM {_SECTIONS} GROUP BY source_stem)""")
+def _volumes(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with ``volume``: a source's document is cut after so many sections, so that one that holds a third of all rows is no single value."""
+    return blocked(rows, "source_stem", *order).withColumnRenamed("_block", "volume")
+
+
+_VOLUME = f"floor((row_number() OVER (PARTITION BY source_stem ORDER BY {{}}) - 1) / {BLOCK})::BIGINT AS volume"
+
+
+@query(f"""SELECT source_stem, volume, length(t)::BIGINT AS chars, sha256(t) AS document_hash FROM (SELECT source_stem, volume, string_agg(repeat('#', least(coalesce(level, 1) + 1, 6)) || ' ' || coalesce(heading_path[-1], '') || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY ord) AS t FROM (SELECT *, {_VOLUME.format('ord')} FROM {_SECTIONS}) GROUP BY source_stem, volume)""")
 def assembled_books(spark: SparkSession, base: str) -> DataFrame:
     """Each source as one document."""
     rows = first_deliveries(table(spark, base, "sections"), "source_stem", "level", "heading_path", "text")
     block = F.concat(F.repeat(F.lit("#"), F.least(F.coalesce("level", F.lit(1)) + 1, F.lit(6))), F.lit(" "), F.coalesce(F.try_element_at("heading_path", F.lit(-1)), F.lit("")), F.lit("\n\n"), F.coalesce("text", F.lit("")))
-    out = assemble.ordered_text(rows.withColumn("block", block), ["source_stem"], ["ord"], "block")
-    return out.select("source_stem", F.length("text").cast("bigint").alias("chars"), F.sha2("text", 256).alias("document_hash"))
+    out = assemble.ordered_text(_volumes(rows.withColumn("block", block), "ord"), ["source_stem", "volume"], ["ord"], "block")
+    return out.select("source_stem", "volume", F.length("text").cast("bigint").alias("chars"), F.sha2("text", 256).alias("document_hash"))
 
 
-@query(f"""SELECT source_stem, sha256(string_agg('### ' || array_to_string(heading_path, ' / ') || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY start_line, id)) AS quiz_hash, count(*) AS quizzes FROM {_SECTIONS} WHERE kind = 'quiz' GROUP BY source_stem""")
+@query(f"""SELECT source_stem, volume, sha256(string_agg('### ' || array_to_string(heading_path, ' / ') || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY start_line, id)) AS quiz_hash
+  FROM (SELECT *, {_VOLUME.format('start_line, id')} FROM {_SECTIONS} WHERE kind = 'quiz') GROUP BY source_stem, volume""")
 def quiz_appendix(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "sections").where("kind = 'quiz'").select("id", "source_stem", "kind", "heading_path", "text", "start_line").distinct()
-    counts = rows.groupBy("source_stem").agg(F.count("*").alias("quizzes"))
-    return assemble.quizzes(rows).join(counts, "source_stem").select("source_stem", F.sha2("text", 256).alias("quiz_hash"), "quizzes")
+    return assemble.quizzes(_volumes(rows, "start_line", "id"), ["source_stem", "volume"]).select("source_stem", "volume", F.sha2("text", 256).alias("quiz_hash"))
 
 
 @query(f"""SELECT title, count(*) AS mentions FROM (SELECT unnest(regexp_extract_all(text, '《([^》]{{1,80}})》', 1)) AS title FROM (SELECT text FROM {_SECTIONS} WHERE kind = 'bibliography' UNION ALL SELECT text FROM (SELECT DISTINCT * FROM dropped))) GROUP BY title""")
@@ -439,9 +447,9 @@ def document_faults(spark: SparkSession, base: str) -> DataFrame:
     """Each source assembled with a table of contents, and what the finished document fails."""
     rows = first_deliveries(table(spark, base, "sections"), "source_stem", "level", "heading_path", "text")
     head = F.concat(F.repeat(F.lit("#"), F.least(F.coalesce("level", F.lit(1)) + 1, F.lit(6))), F.lit(" "), F.coalesce(F.try_element_at("heading_path", F.lit(-1)), F.lit("")))
-    body = assemble.ordered_text(rows.withColumn("block", F.concat(head, F.lit("\n\n"), F.coalesce("text", F.lit("")))), ["source_stem"], ["ord"], "block")
+    body = assemble.ordered_text(_volumes(rows.withColumn("block", F.concat(head, F.lit("\n\n"), F.coalesce("text", F.lit("")))), "ord"), ["source_stem", "volume"], ["ord"], "block")
     whole = assemble.document(F.col("text"), F.col("source_stem"), "目录", assemble.front_matter({"title": F.col("source_stem"), "language": F.lit("zh")}))
-    return body.select("source_stem", F.array_join(assemble.document_faults(whole, "zh", "目录"), "; ").alias("faults"))
+    return body.select("source_stem", "volume", F.array_join(assemble.document_faults(whole, "zh", "目录"), "; ").alias("faults"))
 
 
 # --- cache and model calls ------------------------------------------------------------------------
