@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,18 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it, if it isn't installed."""
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One of the Parquet tables below ``base``."""
+    importable(spark)
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
