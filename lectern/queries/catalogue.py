@@ -13,7 +13,7 @@ from lectern.operators import assemble, inventory, merge, outline, sections, sim
 from lectern.operators.components import connected_components
 from lectern.operators.ordering import BLOCK, blocked, in_block, over_blocks
 from lectern.plans.provider import FakeProvider, compacted, completed
-from lectern.session import materialize, table
+from lectern.session import balanced, materialize, table
 from lectern.sources.books import line_count
 from lectern.streaming.ingest import sessions, windowed_counts
 
@@ -222,7 +222,7 @@ def name_mentions(spark: SparkSession, base: str) -> DataFrame:
 @query()
 def coverage_tokens(spark: SparkSession, base: str) -> DataFrame:
     """The facts of each section that is no duplicate, by family."""
-    rows = table(spark, base, "sections").where(F.col("text").isNotNull() & F.col("duplicate_of").isNull())
+    rows = balanced(table(spark, base, "sections").where(F.col("text").isNotNull() & F.col("duplicate_of").isNull()).select("id", "text"))
     found = rows.select("id", coverage.token_families(F.col("text")).alias("f"))
     return found.select("id", *(F.size(f"f.{name}").alias(name) for name in coverage.FAMILIES), F.array_join(coverage.flat_tokens(F.col("f")), "|").alias("tokens")).distinct()
 
@@ -352,7 +352,7 @@ def duplicate_of_components(spark: SparkSession, base: str) -> DataFrame:
 
 @query()
 def minhash_signatures(spark: SparkSession, base: str) -> DataFrame:
-    signed = similarity.signatures(table(spark, base, "sections").select("id", "text"))
+    signed = similarity.signatures(balanced(table(spark, base, "sections").select("id", "text")))
     return signed.select("id", F.size("signature").alias("slots"), F.array_join("signature", ",").alias("signature")).distinct()
 
 
