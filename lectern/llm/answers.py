@@ -116,10 +116,17 @@ def is_copied(text: str, prompt: str | None) -> bool:
         return False
     body = _body(text)
     own = _END.sub("", _FENCE.sub("", body).rstrip())
-    for answer in {_plain(body), _plain(own), _plain(_without_lead(own))}:
+    passages = None
+    for answer in {_plain(x) for x in {body, own, _without_lead(own)}}:
         if not answer:
             continue
-        for passage in map(_plain, _passages(prompt)):
+        if passages is None:
+            # a slip may hide one of three short stretches of a copy, but not all
+            whole, n = _plain(prompt), len(answer)
+            if not any(answer[k : k + 8] in whole for k in (n // 4, n // 2, n * 3 // 4)):
+                return False
+            passages = [_plain(x) for x in _passages(prompt)]
+        for passage in passages:
             # what comes before the passage's first words is a lead-in on the same line, if it is short
             answer = answer[max(answer.find(passage[:16], 0, 40), 0) :]
             if not passage or len(answer) > len(passage) + 2 or len(answer) < 0.8 * len(passage):
@@ -208,6 +215,7 @@ def is_refusal(text: str) -> bool:
 
 _PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "｛": "｝", "【": "】", "《": "》", "〈": "〉", "「": "」", "『": "』", "“": "”", "〔": "〕", "«": "»"}
 _CLOSERS = set(_PAIRS.values())
+_BRACKETS = re.compile("[" + "".join(map(re.escape, [*_PAIRS, *_PAIRS.values()])) + "]")
 _EMOJI = "\u2600-\u27bf\U0001f000-\U0001faff\ufe0f\u200d"
 #: Endings that are complete though no sentence ends there: a tag, a node's name, a sign-off, a closing remark, an emoji.
 _END = re.compile(
@@ -238,7 +246,7 @@ def open_structures(text: str) -> list[str]:
             opened = line.rfind('"')
             if len(line) - opened - 1 > 0 or not _COMPLETE.search(line):
                 stack.append('"')
-        for c in line:
+        for c in _BRACKETS.findall(line):
             if c in _PAIRS:
                 stack.append(_PAIRS[c])
             elif c in _CLOSERS and c in stack:
