@@ -150,6 +150,15 @@ def test_near_pairs_equal_brute_force(spark):
     assert near.near_pairs(df.limit(0)).count() == 0
 
 
+def test_near_pairs_that_share_only_frequent_shingles(spark):
+    hot = han(300, 1)
+    texts = [(hot if n % 3 == 0 else han(300, 1000 + n)) + han(100, 2000 + n) for n in range(150)]
+    want = brute_pairs([(f"i{n:03d}", t) for n, t in enumerate(texts)])
+    assert len(want) == 50 * 49 // 2
+    got = [tuple(r) for r in near.near_pairs(simple(spark, texts)).collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.99 * len(want)
+
+
 def test_weighted_sampling_estimates_weighted_jaccard():
     rng = np.random.default_rng(0)
     a = np.unique(rng.integers(0, 2**63, 600).astype(np.uint64))
