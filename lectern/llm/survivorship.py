@@ -16,14 +16,24 @@ from lectern.operators.components import connected_components
 #: Spellings that stand for "not known" where a book's title should be, after trimming and lower-casing.
 NO_BOOK = ("", "-", "--", "—", "——", "?", "？", "n/a", "na", "nil", "none", "null", "nan", "unknown", "untitled", "tbd", "无", "無", "未知", "不详", "不詳", "佚名", "未詳", "未详", "暂无", "暫無", "待定")
 
+#: Spellings of "to be supplied", which are no book's name either.
+TO_COME = ("待补", "待補", "待补充", "待補充")
+
+#: Full-width ASCII, which NFKC would narrow, and the same narrowed.
+WIDE, NARROW = "".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0x7F)))
+
+#: Brackets in which a stand-in may stand, once narrowed.
+BRACKETS = r"()\[\]{}【】〔〕〖〗"
+
 #: All of Unicode's white space, which trim() alone doesn't know.
 SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def names_a_book(book: Column) -> Column:
-    """True where the value is a title and not null, blank or a stand-in."""
-    bare = F.lower(F.regexp_replace(book, f"^{SPACE}+|{SPACE}+$", ""))
-    return F.coalesce(~bare.isin(*NO_BOOK), F.lit(False))
+    """True where the value is a title and not null, blank or a stand-in, whether or not the stand-in is in brackets or full-width."""
+    outside = f"(?:{SPACE}|[{BRACKETS}])+"
+    bare = F.lower(F.regexp_replace(F.translate(book, WIDE, NARROW), f"^{outside}|{outside}$", ""))
+    return F.coalesce(~bare.isin(*NO_BOOK, *TO_COME), F.lit(False))
 
 
 def survivors(sections: DataFrame, imprints: DataFrame) -> DataFrame:

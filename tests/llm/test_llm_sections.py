@@ -120,6 +120,16 @@ def test_survivors(spark):
     assert survivorship.survivors(sections(spark, rows).limit(0), imprints).count() == 0
 
 
+def test_stand_ins_name_no_book(spark):
+    stand_ins = ["（待补）", "(待补)", "待补", "【待補】", " [ 待補 ] ", "（未知）", "Ｎ／Ａ", "(Unknown)", "（）", "？", None]
+    titles = ["待补的脸", "看见（待补）之后", "读脸手册（上）", "（新编）读脸手册", "qinghe-000000#2"]
+    rows = spark.createDataFrame([(b,) for b in stand_ins + titles], "book string")
+    assert [r[0] for r in rows.select(survivorship.names_a_book(F.col("book"))).collect()] == [False] * len(stand_ins) + [True] * len(titles)
+    df = sections(spark, [(1, "a", "lanting-1", "（待补）", None, "xxxx", "b"), (2, "b", "moshan-1", "书二", None, "x", None)])
+    imprints = spark.createDataFrame([("lanting", 5), ("moshan", 2)], "imprint string, trust int")
+    assert [tuple(r) for r in survivorship.survivors(df, imprints).collect()] == [("a", "a", "书二")]
+
+
 # --- near duplicates ------------------------------------------------------------------------------------
 
 
