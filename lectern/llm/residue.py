@@ -1,151 +1,175 @@
 """Template residue and error pages in place of what should be read.
 
-Unfilled placeholders are found by their delimiters around a name. For the
-rest, labelled exemplars of notices, filler and page frames are retrieved for
-each line of a document through an inverted index of their terms; the line's
-TF-IDF mass that the retrieved exemplars contain is its coverage. A document
-that consists of covered lines, but for a headline, is excluded. Frequencies
-are counted over all documents, for the terms of the exemplars only.
+Unfilled placeholders are found by their delimiters around a name, whatever
+its length. For the rest, labelled exemplars of notices, filler and page frames
+are retrieved for each passage window of a document through an inverted index
+of their terms. A window's terms that the retrieved exemplars contain are
+covered; a document whose TF-IDF mass is covered for the most part, a headline
+and lines of navigation aside, is excluded. Frequencies are counted over all
+documents, for the terms of the exemplars only.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import unicodedata
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The coverage from which a line is residue, and the longest headline and the longest footer that a page of notices may have besides.
-COVERED, HEADLINE, FOOTER = 0.55, 60, 30
-#: What a site's frame may hold at most to be a page without content.
-EMPTY_PAGE = 80
+from lectern.llm import exemplars as default
 
-_NAME = r"[$]?[A-Za-z_一-鿿][\w.一-鿿-]{0,40}"
+#: The covered share of a document's mass from which it is residue, and the share of an exemplar's or a window's mass they have in common when one is retrieved.
+COVERED, IN_EXEMPLAR, IN_WINDOW = 0.25, 0.2, 0.3
+#: Segments in a passage window at most.
+WINDOW = 3
+
+_NAME = r"[$]?[A-Za-z_一-鿿][\w.一-鿿-]*+"
 #: Delimiters that stand around an unfilled name. Single braces need a bare name: lists and numbers in braces are prose.
 PLACEHOLDER = re.compile(
-    rf"\{{\{{[^{{}}\n]{{1,60}}\}}\}}|[$#]\{{\s*{_NAME}\s*\}}|\{{%[-\s][^\n]{{1,80}}?%\}}|\{{{_NAME}\}}|｛\s*{_NAME}\s*｝"
-    rf"|<%[=\s-][^\n]{{1,80}}?%>|<\?=?\s*(?:php|\$)[^\n]{{0,80}}?\?>|<<\s*{_NAME}\s*>>|&lt;\s*{_NAME}\s*&gt;"
-    rf"|%%{_NAME}%%|@@{_NAME}@@|(?<![\w_])__[A-Za-z一-鿿][\w.]{{0,40}}?__(?!\w)|(?<=[一-鿿])__[A-Za-z一-鿿][A-Za-z0-9_.一-鿿]{{0,40}}?__|\[\[\s*{_NAME}\s*\]\]"
-    rf"|[【\[](?:请|請)?(?:填写|填寫|填入|输入|輸入|插入|在此|此处|此處)[^【】\[\]\n]{{0,40}}[】\]]|\[(?:INSERT|ENTER|YOUR|ADD|TODO|PLACEHOLDER)\b[^\[\]\n]{{0,60}}\]|\bINSERT_[A-Z_]+\b",
+    rf"\{{\{{[^{{}}\n]+\}}\}}|[$#]\{{\s*{_NAME}\s*\}}|\{{%[-\s](?:[^\n%{{]|%(?!\}})|\{{(?!%))+%\}}|\{{{_NAME}\}}|｛\s*{_NAME}\s*｝"
+    rf"|<%[=\s-](?:[^\n%<]|%(?!>)|<(?!%))+%>|<\?=?\s*(?:php|\$)(?:[^\n?<]|\?(?!>)|<(?!\?))*\?>|<<\s*{_NAME}\s*>>|&lt;\s*{_NAME}\s*&gt;"
+    rf"|%%{_NAME}%%|@@{_NAME}@@|(?<![\w_])__[A-Za-z一-鿿](?:[A-Za-z0-9.一-鿿]|_(?!_))*+__(?!\w)|(?<=[一-鿿])__[A-Za-z一-鿿](?:[A-Za-z0-9.一-鿿]|_(?!_))*+__|\[\[\s*{_NAME}\s*\]\]"
+    rf"|[【\[](?:请|請)?(?:填写|填寫|填入|输入|輸入|插入|在此|此处|此處)[^【】\[\]\n]*[】\]]|\[(?:INSERT|ENTER|YOUR|ADD|TODO|PLACEHOLDER)\b[^\[\]\n]*\]|\bINSERT_[A-Z_]+\b",
 )
 
 #: One of these is in every placeholder.
 _OPENERS = ("{", "｛", "<%", "<?", "<<", "&lt;", "%%", "@@", "__", "[", "【", "INSERT_")
 
-#: Labelled exemplars, whole notices and their parts.
-NOTICES = """
-404 not found|403 forbidden|401 unauthorized|400 bad request|410 gone|429 too many requests|500 internal server error|502 bad gateway|503 service unavailable|504 gateway timeout|404|error 404
-page not found|the page you requested could not be found|the requested text can't be found|that address is not available right now|this chapter requires permission|this column is down for maintenance
-your article failed to load|the recording could not be displayed|the requested text has expired|has been removed|no longer exists|oops|uh oh|sorry|something went wrong|an error occurred|an unexpected error has occurred
-please try again later|try again in a few minutes|check the link or go back home|redirecting in 0 s|ref 0|failed to load content retry|retry|reload the page
-error establishing a database connection|fatal error memory limit of 0 bytes reached in page php on line 0|unexpected token in json at position 0|keyerror|keyerror first name|keyerror reader city|nameerror|typeerror|attributeerror|valueerror|object object|undefined undefined undefined|null null null|nan|traceback most recent call last|stack trace|nan nan|file render py line 0 in page|most recent call last|upstream request timeout|request timeout|request entity too large|payload too large|request id 0|no response from upstream|timeout after 0 ms|connection timed out|connection reset
-access denied|access denied contact the site owner|you do not have permission to view this page|you have been signed out|please log in to continue|your session has expired|sign in to continue reading|session expired|reference 0|too many visits from your network complete the check to go on|the upstream did not answer in time|our engineers are working on it|we are working to fix this|please refresh the page|the server took too long to respond|complete the check to go on|sign in again to read this chapter|checking your browser before the reader opens|account suspended|too many attempts|members only|subscribe to continue reading|not available in your region|unusual traffic detected|verify you are human|checking your browser before accessing|rate limit exceeded|request blocked|forbidden
-please enable javascript to view this chapter|javascript must be active otherwise the text cannot be shown|you need to turn on js and cookies to run this reader|this site requires browser scripting change the setting and reload|we noticed that javascript is switched off here|without client side scripting we cannot display section 0|your browser blocks javascript so the page stays blank|loading if nothing appears switch scripts on|enable scripts and cookies|javascript is disabled|reading this page needs javascript|turn on scripting|your browser does not support scripts
-text to be supplied|tbd|sample text goes here|your content here|dummy paragraph for layout only|replace this paragraph with your own words|xxx xxx xxx|content placeholder do not publish|paragraph text goes here|lorem ipsum dolor sit amet consectetur adipiscing elit|test test test|coming soon|under construction|insert text here|click to edit|untitled document
-错误 404|错误|提示|系统消息|哎呀|很抱歉|抱歉|您访问的页面|您要找的小节|这篇文章|该章节|当前地址|本讲录像|请求的内容|此专栏|加载失败|未能送达|已下线|已被删除|正在维护|需要权限才能查看|找不到了|打不开|不存在|已过期|暂时无法显示|请稍后再试|点击重新加载|请检查链接是否正确|0 秒后自动跳转|请在 0 分钟后重试|代码 0|页面不存在|页面未找到|无法访问此页面
-内部错误|服务器开小差了|服务器错误|访问过于频繁|网络异常|连接超时|数据库连接失败|系统繁忙|请求超时|服务暂不可用|网关错误|网关超时|服务不可用|请求编号 0|请求过大|请求失败|请求被拦截|上游无响应|请求过多|无响应|未授权|禁止访问|资源不存在|连接已重置|参数错误|系统错误|未知错误|维护中|升级中|工程师正在处理|页面加载出错，请刷新|验证码已失效|验证码错误|请重新登录|正在抢修
-访问被拒绝|会话已断开|登录状态已过期|您尚未登录|检测到异常流量|请联系管理员|完成验证后继续|请重新登录后查看全文|内容无法载入|没有访问权限|请登录后查看|账号已被停用|此内容仅限会员|当前地区不可用
-请启用脚本功能后继续阅读|请先打开JavaScript，再刷新本页|本页依赖浏览器脚本加载正文|阅读正文需要开启JavaScript|检测到JS 与 Cookie被禁用，内容无法显示|您的浏览器未运行网页脚本，页面只能保持空白|由于脚本功能关闭，第0节没有载入|正在加载，长时间无响应时请检查javascript的设置|浏览器不支持脚本|请开启 Cookie|本页依赖|加载正文|阅读正文需要开启|请启用|后继续阅读|请先打开|再刷新本页|检测到|被禁用|内容无法显示|您的浏览器未运行|页面只能保持空白|没有载入|由于|关闭|javascript|浏览器脚本|网页脚本|脚本功能|JS 与 Cookie
-内容待补充|正文占位，待替换|占位文本|这里是示例文字|样例段落|请在此输入标题|请在此输入内容|敬请期待|测试测试测试|此处填写内容|此处填写正文内容|段落文字示意|示例文本|暂无内容|待补|建设中
-錯誤 404|錯誤|提示|系統消息|哎呀|很抱歉|抱歉|您訪問的頁面|您要找的小節|這篇文章|該章節|當前地址|本講錄像|請求的內容|此專欄|加載失敗|載入失敗|未能送達|已下線|已被刪除|正在維護|需要權限才能查看|找不到了|打不開|不存在|已過期|暫時無法顯示|請稍後再試|點擊重新加載|請檢查鏈接是否正確|0 秒後自動跳轉|請在 0 分鐘後重試|代碼 0|頁面不存在|找不到頁面
-內部錯誤|服務器開小差了|伺服器錯誤|訪問過於頻繁|網絡異常|連接超時|數據庫連接失敗|系統繁忙|請求超時|服務暫不可用|網關超時|網關錯誤|服務不可用|請求編號 0|請求過大|請求失敗|請求被攔截|上游無響應|請求過多|無響應|未授權|禁止訪問|資源不存在|連接已重置|參數錯誤|系統錯誤|未知錯誤|維護中|升級中|工程師正在處理|頁面加載出錯，請刷新|驗證碼已失效|驗證碼錯誤|請重新登錄|正在搶修
-訪問被拒絕|會話已斷開|登錄狀態已過期|您尚未登錄|檢測到異常流量|檢測到异常流量|請聯繫管理員|請聯系管理員|完成驗證後繼續|完成驗證後继續|請重新登錄後查看全文|內容無法載入|沒有訪問權限|請登入後查看
-請啟用腳本功能後繼續閱讀|請啟用javascript後继續閱讀|請先打開JavaScript，再刷新本頁|本頁依賴瀏覽器腳本加載正文|本頁依賴浏覽器腳本加載正文|閱讀正文需要開啟JavaScript|檢測到JS 與 Cookie被禁用，內容無法顯示|您的瀏覽器未運行網頁腳本，頁面只能保持空白|您的浏覽器未运行網頁腳本，頁面只能保持空白|由於腳本功能關閉，第0節沒有載入|正在加載，長時間無響應時請檢查javascript的設置|本頁依賴|加載正文|閱讀正文需要開啟|請啟用|後繼續閱讀|後继續閱讀|請先打開|再刷新本頁|檢測到|被禁用|內容無法顯示|您的瀏覽器未運行|您的浏覽器未运行|頁面只能保持空白|沒有載入|由於|關閉|瀏覽器腳本|浏覽器腳本|網頁腳本|腳本功能|JS 與 Cookie
-內容待補充|正文占位，待替換|佔位文字|占位文本|這裡是示例文字|樣例段落|請在此輸入標題|請在此輸入內容|敬請期待|測試測試測試|此處填寫內容|此處填寫正文內容|段落文字示意|暫無內容
-"""
-FRAMES = """
-home retry|back to top|privacy policy|terms of use|contact us|all rights reserved|copyright|reading room build 0|reader front 0|powered by|nginx 0|apache 0|skip to content|menu|search|share|cookie policy
-返回首页 刷新|首页|刷新 反馈|反馈|刷新|返回上一页|关于我们|联系我们|本手稿未经许可不得转载|本书版权归编者所有|本节内容|此版本|本译稿|本章以纸质版为准|本书只限馆内阅览|此版本禁止翻印|请勿用于商业用途|版权所有|侵权必究|未经授权禁止转载|本电子版|由读者自愿录入|仅供试读|禁止翻印|只限馆内阅览|以纸质版为准|未经许可不得转载|版权归编者所有|本手稿|本书|本章|本节|本文
-返回首頁 刷新|首頁|刷新 反饋|反饋|返回上一頁|關於我們|聯繫我們|本手稿未經許可不得轉載|本書版權歸編者所有|本節內容|此版本|本譯稿|本章以紙質版為準|本書只限館內閱覽|此版本禁止翻印|請勿用於商業用途|版權所有|侵權必究|本電子版|由讀者自願錄入|僅供試讀|禁止翻印|只限館內閱覽|以紙質版為準|未經許可不得轉載|版權歸編者所有|本手稿|本書|本章|本節|本文
-"""
-_CRUMBS = re.compile(r"^\s*(?:home|index|首页|首頁|主页|主頁)\s*[>/›»→|]", re.I)
-_STATUS = re.compile(r"^\W*(?:http(?:/[\d.]+)?\s*)?(?:error|错误|錯誤)?\W*[45]\d\d\W*$", re.I)
-_BANNER = re.compile(r"^[\w-]+/\d+(?:\.\d+)+$")
-_TERMS = re.compile(r"([a-z]*[0-9][a-z0-9]*)|([a-z]+(?:'[a-z]+)?)|([㐀-鿿豈-﫿]+)")
-_LATIN = re.compile(r"[a-z]*[0-9][a-z0-9]*|[a-z]+(?:'[a-z]+)?")
-_FUNCTION = {"the", "of", "and", "to", "is", "that", "a", "in", "it", "for", "with", "when", "because", "on", "was"}
-
-
-def terms(line: str) -> Counter[str]:
-    """Words in Latin letters, numbers and codes as one sign, and pairs of Han characters."""
-    out: Counter[str] = Counter()
-    for number, word, run in _TERMS.findall(unicodedata.normalize("NFKC", line).lower().replace("’", "'")):
-        if number:
-            out["0"] += 1
-        elif word:
-            out[word] += 1
-        elif len(run) == 1:
-            out[run] += 1
-        else:
-            out.update(map("".join, zip(run, run[1:], strict=False)))
-    return out
+_WORD = re.compile(r"[a-z0-9]+(?:'[a-z]+)?")
+_STATUS = re.compile(r"[45]\d\d")
+#: A product and its version, as servers sign their pages.
+_BANNER = re.compile(r"[\w-]+/\d+(?:\.\d+)+")
+#: Between the items of a line of navigation.
+_BETWEEN = re.compile(r"\s*[>›»→|｜·/]\s*")
+#: Ends of sentences, after which a line is no headline.
+_ENDS = frozenset("。！？!?；;.…")
+#: Function words of English, which are no terms, and which pseudo-Latin lacks.
+_FUNCTION = frozenset(
+    "the of and to is that a an in it its for with when because on was were are be been being this these those there you your we our us they their them not or nor at by from as has have had her his she he him"
+    " how what which who while where why do does did can could may might will would shall should must if no so but than then one some any all each into over under out up about after before i me my".split()
+)
+
+
+def _folding() -> np.ndarray:
+    """Case, width and script folded, character by character."""
+    fold = np.arange(0x110000, dtype=np.uint32)
+    fold[0xFF01:0xFF5F] = np.arange(0x21, 0x7F)
+    for code in [*range(ord("A"), ord("Z") + 1)]:
+        fold[code] = fold[code + 0xFEE0] = code + 32
+    fold[0x2019] = ord("'")
+    for code, plain in default.one_script().items():
+        fold[code] = ord(plain)
+    return fold
+
+
+_FOLD = _folding()
+_HAN = np.zeros(0x110000, bool)
+_HAN[0x3400:0xA000] = _HAN[0xF900:0xFB00] = True
+_STOP = np.zeros(0x110000, bool)
+_STOP[[ord(c) for c in "\n。！？!?；;"]] = True
+
+
+class Terms:
+    """The terms of a text where they stand: words and codes in Latin letters, pairs of Han characters, and Han characters between others. Numbers are none."""
+
+    def __init__(self, text: str):
+        points = _FOLD[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        self.folded = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        han = np.r_[_HAN[points], False]
+        pair = np.flatnonzero(han[:-1] & han[1:])
+        alone = np.flatnonzero(han[:-1] & ~han[1:] & ~np.r_[False, han[:-2]])
+        self.han_at = np.r_[pair, alone]
+        self.paired = np.r_[np.ones(len(pair), bool), np.zeros(len(alone), bool)]
+        wide = points.astype(np.int64)
+        self.han = np.r_[(wide[pair] << 21) | wide[pair + 1] if len(pair) else np.zeros(0, np.int64), wide[alone]]
+        words = ((m.start(), "#" if _STATUS.fullmatch(m.group()) else m.group()) for m in _WORD.finditer(self.folded))
+        found = [(at, w) for at, w in words if not w.isdigit() and w not in _FUNCTION]
+        self.words = [w for _, w in found]
+        self.words_at = np.array([at for at, _ in found], np.int64)
+        stop = _STOP[points]
+        dot = np.flatnonzero(points == ord("."))
+        if len(dot):
+            after = points[np.minimum(dot + 1, len(points) - 1)]
+            stop[dot[(dot + 1 == len(points)) | (after == 32) | (after == 10)]] = True
+        self.segment = np.cumsum(stop) - stop
 
 
 class Exemplars:
-    """The labelled exemplars and the inverted index of their terms."""
+    """Labelled exemplars and the inverted index of their terms."""
 
-    def __init__(self) -> None:
-        self.items: list[tuple[str, Counter[str]]] = []
+    def __init__(self, labelled: Iterable[tuple[str, str]] | None = None) -> None:
+        self.labels: list[str] = []
+        self.held: list[frozenset[int]] = []
+        words: dict[str, int] = {}
+        pairs: dict[int, int] = {}
         seen = set()
-        for label, block in (("notice", NOTICES), ("frame", FRAMES)):
-            for text in block.replace("\n", "|").split("|"):
-                found = terms(text)
-                if found and (key := frozenset(found)) not in seen:
-                    seen.add(key)
-                    self.items.append((label, found))
-        self.index: dict[str, list[int]] = {}
-        for number, (_, found) in enumerate(self.items):
-            for term in found:
-                self.index.setdefault(term, []).append(number)
-        self.vocabulary = sorted(self.index)
-        self._single = [t for t in self.vocabulary if len(t) == 1 and not t.isascii()]
-        self._words = frozenset(t for t in self.vocabulary if t.isascii())
-        self._first, self._second = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
-        for term in self.vocabulary:
-            if not term.isascii():
-                self._first[ord(term[0])] = self._second[ord(term[-1])] = True
-
-    def terms_in(self, text: str) -> set[str]:
-        """The terms of the exemplars that occur in a text of any length: pairs of characters are looked up only where both stand in some term."""
-        lower = text.lower()
-        found = {"0" if any(c.isdigit() for c in w) else w for w in set(_LATIN.findall(lower))} & self._words
-        if not lower.isascii():
-            points = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), np.uint32)
-            at = np.flatnonzero(self._first[points[:-1]] & self._second[points[1:]])
-            found |= {lower[i : i + 2] for i in at.tolist()} & self.index.keys()
-            found |= {t for t in self._single if t in lower}
-        return found
-
-    def weigh(self, idf: dict[str, float], rare: float) -> None:
+        size = 0
+        for label, text in labelled if labelled is not None else default.labelled():
+            terms, own = Terms(text), set()
+            for table, keys in ((words, terms.words), (pairs, terms.han.tolist())):
+                for key in keys:
+                    if key not in table:
+                        table[key] = size
+                        size += 1
+                    own.add(table[key])
+            if own and (held := frozenset(own)) not in seen:
+                seen.add(held)
+                self.labels.append(label)
+                self.held.append(held)
+        self.size, self._words = size, words
+        self._pairs = np.array(sorted(pairs), np.int64)
+        self._numbers = np.array([pairs[p] for p in sorted(pairs)], np.int64)
+        self.index: dict[int, list[int]] = defaultdict(list)
+        for number, held in enumerate(self.held):
+            for term in held:
+                self.index[term].append(number)
+
+    def numbers(self, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
+        """``(places, numbers)`` of all terms of a text, in no order; -1 for those of no exemplar."""
+        if len(self._pairs) and len(terms.han):
+            at = np.minimum(np.searchsorted(self._pairs, terms.han), len(self._pairs) - 1)
+            han = np.where(self._pairs[at] == terms.han, self._numbers[at], -1)
+        else:
+            han = np.full(len(terms.han), -1, np.int64)
+        known = self._words.get
+        return np.r_[terms.han_at, terms.words_at], np.r_[han, np.array([known(w, -1) for w in terms.words], np.int64)]
+
+    def weigh(self, weights: np.ndarray, rare: float) -> None:
         """Sets the weights of the exemplars' terms and that of any other term."""
-        self.idf, self.rare = idf, rare
-        self.masses = [sum(idf[t] for t in found) for _, found in self.items]
-
-    def coverage(self, line: str) -> tuple[float, bool]:
-        """The share of the line's TF-IDF mass in exemplars of which it holds at least half, and whether a notice is among them."""
-        own, idf = terms(line), self.idf
-        known = {t: n * idf[t] for t, n in own.items() if t in idf}
-        mass = sum(known.values()) + self.rare * (own.total() - sum(own[t] for t in known))
-        if not known or sum(known.values()) < COVERED * mass:
-            return 0.0, False  # even all exemplars together wouldn't cover the line
-        met: Counter[int] = Counter()
-        for term in known:
+        self.weights = np.r_[weights, rare]
+        self._weight = weights.tolist()
+        self.masses = [sum(self._weight[t] for t in held) for held in self.held]
+
+    def covered(self, window: set[int], mass: float) -> tuple[set[int], set[int]]:
+        """The terms of a window of that mass that its exemplars contain, and these exemplars."""
+        shared: Counter[int] = Counter()
+        for term in window:
             for number in self.index[term]:
-                met[number] += idf[term]
-        covered: set[str] = set()
-        notice = False
-        for number, weight in met.items():
-            if weight >= 0.5 * self.masses[number]:
-                label, found = self.items[number]
-                covered |= found.keys() & known.keys()
-                notice |= label == "notice"
-        return sum(known[t] for t in covered) / mass, notice
+                shared[number] += self._weight[term]
+        met = {n for n, weight in shared.items() if weight >= IN_EXEMPLAR * self.masses[n] or weight >= IN_WINDOW * mass}
+        return {t for n in met for t in self.held[n] & window}, met
+
+
+def _aside(text: str) -> list[tuple[int, int]]:
+    """The stretches of a text that say nothing by themselves: its headline, lines of navigation, and banners of servers."""
+    lines, at = [], 0
+    for line in text.split("\n"):
+        if line.strip():
+            lines.append((at, line))
+        at += len(line) + 1
+    out = []
+    for number, (at, line) in enumerate(lines):
+        bare = line.strip()
+        parts = [p for p in _BETWEEN.split(bare) if p]
+        headline = number == 0 and len(lines) > 1 and bare[-1] not in _ENDS
+        if headline or _BANNER.fullmatch(bare) or (len(parts) > 2 and all(len(p) < 20 for p in parts)):
+            out.append((at, at + len(line)))
+    return out
 
 
 def is_filler(text: str) -> bool:
@@ -158,49 +182,89 @@ def is_filler(text: str) -> bool:
     return marks > 0 and len(words) >= 0.6 * len(re.findall(r"\w+", text)) and marks >= 0.01 * len(words) and sum(w in _FUNCTION for w in words) <= 0.05 * len(words)
 
 
+def _counted(terms: Terms, held: np.ndarray) -> np.ndarray:
+    """Which terms count: all but pairs not held that only straddle two which are."""
+    at, size = terms.han_at, len(terms.segment) + 1
+    chars = np.zeros(size, bool)
+    own = at[held[: len(at)]]
+    chars[own] = True
+    paired = own[terms.paired[held[: len(at)]]]
+    chars[paired + 1] = True
+    out = np.ones(len(held), bool)
+    out[: len(at)] = held[: len(at)] | ~(chars[at] & chars[np.minimum(at + terms.paired, size - 1)])
+    return out
+
+
 def residue_kind(text: str | None, exemplars: Exemplars) -> str | None:
-    """placeholder, filler or notice; null for real content and for null, empty and blank texts."""
+    """placeholder, filler, notice or frame; null for real content and for null, empty and blank texts."""
     if not text or not text.strip():
         return None
     if any(mark in text for mark in _OPENERS) and PLACEHOLDER.search(text):
         return "placeholder"
     if is_filler(text):
         return "filler"
-    lines = [x.strip() for x in text.split("\n") if x.strip()]
-    notices = frames = 0
-    left: list[tuple[int, str]] = []
-    for number, line in enumerate(lines):
-        if _CRUMBS.match(line) or _BANNER.match(line):
-            frames += 1
-            continue
-        if _STATUS.match(line):
-            notices += 1
-            continue
-        share, notice = exemplars.coverage(line)
-        if share >= COVERED:
-            notices += notice
-            frames += not notice
-        else:
-            left.append((number, line))
-            if len(left) > 2:
-                return None
-    last = len(lines) - 1
-    if notices and all(len(line) <= HEADLINE if number == 0 < last else number == last > 0 and len(line) <= FOOTER for number, line in left):
-        return "notice"
-    # the frame of a site around one short line is a page without its content, whatever the line says
-    return "notice" if frames and len(left) <= 1 and sum(len(line) for _, line in left) <= EMPTY_PAGE else None
+    terms = Terms(text)
+    places, numbers = exemplars.numbers(terms)
+    if not len(numbers):
+        return None
+    known = numbers >= 0
+    mass = exemplars.weights[numbers] * _counted(terms, known)
+    said = np.ones(len(places), bool)
+    asides = None
 
+    def mostly(held: np.ndarray, mass: np.ndarray) -> bool:
+        """Whether what is held is most of the text, or of what is left without what stands aside."""
+        nonlocal said, asides
+        if mass[held].sum() >= COVERED * mass.sum():
+            return True
+        if asides is None:
+            asides = _aside(text)
+            for a, b in asides:
+                said &= (places < a) | (places >= b)
+        return bool(said.any()) and mass[held & said].sum() >= COVERED * mass[said].sum()
 
-def inverse_frequencies(docs: DataFrame, exemplars: Exemplars) -> tuple[dict[str, float], float]:
-    """The weight of each term of the exemplars over all documents, and that of any other term."""
-    place = {term: i for i, term in enumerate(exemplars.vocabulary)}
+    # no more can be covered than is known
+    if not mostly(known, mass):
+        return None
+    segments = terms.segment[places]
+    held: dict[int, list[int]] = defaultdict(list)
+    sizes: Counter[int] = Counter()
+    for segment, number, weight in zip(segments.tolist(), numbers.tolist(), mass.tolist(), strict=True):
+        sizes[segment] += weight
+        held[segment].append(number)
+    order = sorted(held)
+    covered: dict[int, set[int]] = defaultdict(set)
+    met: set[int] = set()
+    for first in range(len(order)):
+        window: set[int] = set()
+        size = 0.0
+        for count in range(1, min(WINDOW, len(order) - first) + 1):
+            segment = order[first + count - 1]
+            window |= {n for n in held[segment] if n >= 0}
+            size += sizes[segment]
+            found, numbers_met = exemplars.covered(window, size)
+            met |= numbers_met
+            for inside in order[first : first + count]:
+                covered[inside] |= found
+    is_covered = np.array([n >= 0 and n in covered[s] for s, n in zip(segments.tolist(), numbers.tolist(), strict=True)])
+    if not mostly(is_covered, exemplars.weights[numbers] * _counted(terms, is_covered)):
+        return None
+    by_label: Counter[str] = Counter()
+    for number in met:
+        by_label[exemplars.labels[number]] += exemplars.masses[number]
+    return by_label.most_common(1)[0][0]
+
+
+def weights_over(docs: DataFrame, exemplars: Exemplars) -> tuple[np.ndarray, float]:
+    """The weight of each term of the exemplars by its frequency over all documents, and that of any other term."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = np.zeros(len(place), np.int64), 0
+        counts, total = np.zeros(exemplars.size, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 total += 1
-                counts[[place[t] for t in exemplars.terms_in(text)]] += 1
+                numbers = np.unique(exemplars.numbers(Terms(text))[1])
+                counts[numbers[numbers >= 0]] += 1
         held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *held.tolist()], pa.int32()), pa.array([total, *counts[held].tolist()], pa.int64())], names=["term", "n"])
 
@@ -208,14 +272,20 @@ def inverse_frequencies(docs: DataFrame, exemplars: Exemplars) -> tuple[dict[str
     found = {r.term: r.n for r in rows}
     total = found.get(-1, 0)
     weight = lambda n: math.log((total + 1) / (n + 1)) + 0.5
-    # a term of no exemplar is taken as one of moderate frequency, whatever the corpus
-    return {term: weight(found.get(i, 0)) for term, i in place.items()}, weight(total / 1000)
+    # a term of no exemplar is taken as one of moderate frequency, whatever the corpus; no term weighs more
+    rare = weight(total / 1000)
+    return np.array([min(weight(found.get(i, 0)), rare) for i in range(exemplars.size)]), rare
+
 
+def residue(docs: DataFrame, labelled: Iterable[tuple[str, str]] | None = None) -> DataFrame:
+    """``(doc_id, kind)`` of every document to exclude; see residue_kind.
 
-def residue(docs: DataFrame) -> DataFrame:
-    """``(doc_id, kind)`` of every document to exclude; see residue_kind. Repeated rows repeat; extra columns are ignored."""
-    exemplars = Exemplars()
-    exemplars.weigh(*inverse_frequencies(docs, exemplars))
+    ``labelled`` are exemplars as (label, text) with the labels notice, filler
+    and frame, a table that is broadcast; without it those of ``exemplars`` are
+    taken. Repeated rows repeat; extra columns are ignored.
+    """
+    exemplars = Exemplars(labelled)
+    exemplars.weigh(*weights_over(docs, exemplars))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -164,3 +165,22 @@ def test_long_texts(spark):
 
 def test_json_stays_valid():
     assert answers.is_truncated(json.dumps({"a": ["眼"]})) is False
+
+
+def test_placeholders_have_no_length_cap():
+    ex = residue.Exemplars()
+    ex.weigh(np.ones(ex.size), 1.0)
+    for size in (1, 60, 61, 5000):
+        for text in ("正文{{%s}}后面" % ("a" * size), "x {%% include %s %%} y" % ("a" * size), "x <%%= %s %%> y" % ("a" * size), "dear ${%s}," % ("n" * size), "【请填写%s】" % ("字" * size)):
+            assert residue.residue_kind(text, ex) == "placeholder", (size, text[:30])
+    for text in ("{1, 2, 3}", "{{ open\n}}", "{% never closed " + "{% " * 5000, "<% " * 5000, "a [1] b", "f(x) = {x | x > 0}"):
+        assert residue.residue_kind(text, ex) is None, text[:30]
+
+
+def test_exemplars_are_a_parameter_and_phrases_unseen_are_found(spark):
+    docs = spark.createDataFrame(
+        [(1, "zorp glim the fleeb"), (2, "a hand on the table says that its owner is at rest"), (3, "脚本被禁用，本页無法显示。"), (4, "Chapter nine\nYou must sign in again to open this chapter"), (5, "她说：“页面不存在。”然后合上了书，望着窗外的雨，很久没有开口，直到茶凉了才起身离开房间。")],
+        "doc_id bigint, text string",
+    )
+    assert {r.doc_id for r in residue.residue(docs, [("notice", "zorp glim"), ("filler", "fleeb")]).collect()} == {1}
+    assert {r.doc_id for r in residue.residue(docs).collect()} == {3, 4}
