@@ -1,54 +1,59 @@
-"""Near-duplicate records: consistent weighted sampling over TF-IDF shingles beside plain minima, banded and verified.
+"""Near-duplicate records: consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 1. Texts are reduced to letters and digits after NFKC; equal ones are one
    class, represented once from here on.
 2. Document frequencies of all shingles of all texts are counted into a table
    of fixed size, which gives every shingle its inverse document frequency as
    weight. (Shingles that share a cell share its weight, so that the weight is
-   still one function of the shingle.)
+   still one function of the shingle.) A term counts by presence.
 3. Improved consistent weighted sampling: for each shingle and each round, two
    gamma variates and a uniform one, all functions of the shingle's hash, give
    a quantity whose minimum over a set of shingles is attained at the same
    shingle in two sets with a probability equal to their weighted Jaccard
-   similarity. A round spreads the shingles over bins, which gives a minimum
-   per bin for one draw per shingle; an empty bin takes another bin's minimum,
-   chosen by a hash of its number.
-4. Where plain similarity is asked for, plain minima are drawn beside these:
-   every shingle weighs the same, so two sets share a minimum with a
-   probability equal to their plain Jaccard similarity. Texts that have frequent
-   shingles in common and rare ones of their own are alike by this measure only.
+   similarity. As a weight depends on its shingle alone, the method's second
+   component is equal wherever the shingle is. A round spreads the shingles
+   over bins, which gives a minimum per bin for one draw per shingle; an empty
+   bin takes another bin's minimum, chosen by a hash of its number.
+4. Where plain similarity is asked for, the weights are damped to a ratio of
+   SPREAD at most. A pair of plain similarity J then has a weighted one of at
+   least J / (J + SPREAD (1 - J)), however its common and its own shingles are
+   distributed: 0.449 for 0.55.
 5. Bands of minima are joined; equal bands make a candidate, which must also
-   agree in a sketch of all minima of the measure that is asked for.
+   agree in two sketches of all minima, one bit of each and then four.
 6. Candidates are verified with the shingles of both whole texts.
 
-With 42 bands of 3 minima, a pair at a similarity of 0.5 by the measure asked
-for is missed with a probability of 0.4 %, one at 0.55 with 0.05 %, one at 0.6
-with less than 0.005 %. For plain similarity the weighted bands only add to that.
+With 48 bands of 3 minima, a pair of plain similarity 0.55 is missed with a
+probability of 0.02 % if its weights are of no account, and of 1 % in the worst
+case, where all common shingles are the most frequent and all others the
+rarest; at 0.6 with 0.001 % and 0.2 %.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.rolling import Rolling, chunks, code_points, mixed
 from lectern.session import materialize
 
 SHINGLE, LEAST_CHARS, THRESHOLD = 5, 40, 0.55
-BANDS, WIDTH, ROUNDS = 42, 3, 6
+BANDS, WIDTH, ROUNDS = 48, 3, 6
 BINS = BANDS * WIDTH // ROUNDS
-#: Of the 126 bits of two sketches, so many agree at least; at a similarity of 0.5 by the sketch's measure they do but for one pair in 400,000.
-LEAST_BITS = 72
+#: The ratio of the largest to the least weight where plain similarity is asked for.
+SPREAD = 1.5
+#: Of the 144 minima of two texts, so many agree at least in one bit, and so many in four; at a weighted similarity of 0.449, the least for plain 0.55, they do but for one pair in 300,000.
+LEAST_BITS, LEAST_NIBBLES = 78, 42
 #: Cells of the table of document frequencies: 4 MB, whatever the corpus.
 CELLS, PART, BRANCHES = 1 << 20, 1 << 16, 64
+BITS, NIBBLES = [f"b{i}" for i in range(3)], [f"n{i}" for i in range(9)]
 _APART = re.compile(r"[\W_]+")
 _U = np.uint64
 _24 = _U((1 << 24) - 1)
@@ -86,18 +91,15 @@ def _draws(grams: np.ndarray, log_weight: np.ndarray, number: int) -> np.ndarray
     return log_c - r * (t - beta) - r
 
 
-def signatures(texts: int, text: np.ndarray, grams: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
-    """The sampled shingles, by text, as 32 bits each; ``texts`` rows of ROUNDS x BINS columns. Without weights, all shingles weigh the same."""
+def signatures(texts: int, text: np.ndarray, grams: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The sampled shingles, by text, as 32 bits each; ``texts`` rows of ROUNDS x BINS columns."""
     out = np.empty((texts, ROUNDS * BINS), np.uint32)
-    log_weight = None if weight is None else np.log(weight).astype(np.float32)
+    log_weight = np.log(weight).astype(np.float32)
     low = grams & _U(0xFFFFFFFF)
     for number in range(ROUNDS):
-        if log_weight is None:
-            value = mixed(grams ^ mixed(np.array([2 * number + 1001], _U))) >> _U(32)
-        else:
-            value = _draws(grams, log_weight, number).view(np.uint32)
-            # the bits of floats in the order of their values
-            value = np.where(value >> np.uint32(31), ~value, value | np.uint32(1 << 31))
+        value = _draws(grams, log_weight, number).view(np.uint32)
+        # the bits of floats in the order of their values
+        value = np.where(value >> np.uint32(31), ~value, value | np.uint32(1 << 31))
         bins = (mixed(grams + _U(number + 101)) % _U(BINS)).astype(np.int64)
         least = np.full(texts * BINS, np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(least, text * BINS + bins, (value.astype(np.uint64) << _U(32)) | low)
@@ -120,21 +122,24 @@ def signatures(texts: int, text: np.ndarray, grams: np.ndarray, weight: np.ndarr
     return out
 
 
-def band_keys(signature: np.ndarray, first: int = 0) -> np.ndarray:
-    """One 64-bit key for each band of each row; the band's number, counted from ``first``, is part of it."""
+def band_keys(signature: np.ndarray) -> np.ndarray:
+    """One 64-bit key for each band of each row; the band's number is part of it."""
     parts = signature.astype(np.uint64).reshape(len(signature), BANDS, WIDTH)
-    key = np.broadcast_to(np.arange(first, first + BANDS, dtype=np.uint64), parts.shape[:2])
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2])
     for i in range(WIDTH):
         key = mixed(key * _U(0x9E3779B97F4A7C15) + parts[:, :, i])
     return key.view(np.int64)
 
 
-def sketches(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One bit of each minimum, in two longs: equal minima agree, others by chance in half of the bits."""
-    bits = (signature & np.uint32(1)).astype(np.uint64)
-    half = bits.shape[1] // 2
-    weights = _U(1) << np.arange(half, dtype=np.uint64)
-    return (bits[:, :half] * weights).sum(axis=1, dtype=np.uint64).view(np.int64), (bits[:, half:] * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+def sketches(signature: np.ndarray) -> list[np.ndarray]:
+    """One bit of each minimum in three longs, then four of each in nine: equal minima agree, others by chance."""
+    out = []
+    for bits, names in ((1, 3), (4, 9)):
+        low = (signature & np.uint32((1 << bits) - 1)).astype(np.uint64)
+        held = low.shape[1] // names
+        places = np.arange(held, dtype=np.uint64) * _U(bits)
+        out += [(low[:, i * held : (i + 1) * held] << places).sum(axis=1, dtype=np.uint64).view(np.int64) for i in range(names)]
+    return out
 
 
 def _normed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +193,19 @@ def inverse_frequencies(counts: np.ndarray) -> np.ndarray:
     return np.log1p(most / np.maximum(counts, 1)).astype(np.float32)
 
 
+def damped(weights: np.ndarray, spread: float = SPREAD) -> np.ndarray:
+    """The weights, in their order, between 1 and ``spread``."""
+    return np.float32(1) + np.float32(spread - 1) * weights / max(float(weights.max(initial=0)), 1e-6)
+
+
+def _agreeing(pairs: DataFrame, signs: DataFrame, columns: list[str], differing: Callable[[Column], Column], least: int) -> DataFrame:
+    """The pairs of which at least so many minima agree in the sketch of these columns."""
+    sketch = signs.select("doc", *columns).dropDuplicates(["doc"])
+    of = lambda side: sketch.select(F.col("doc").alias(f"doc_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+    apart = sum((differing(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in columns), F.lit(0))
+    return pairs.join(of("a"), "doc_a").join(of("b"), "doc_b").where(BANDS * WIDTH - apart >= least).select("doc_a", "doc_b")
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: members has id and doc, the class of equal normalized texts; links has doc_a, doc_b and both similarities.
 
@@ -199,22 +217,22 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool =
     spark = docs.sparkSession
     texts = docs.select("id", "text").where(F.col("text").isNotNull() & F.col("id").isNotNull())
     normed = materialize(texts.mapInArrow(_normed, "id string, doc bigint, text string"), "normed")
-    weights = spark.sparkContext.broadcast(inverse_frequencies(document_frequencies(normed)))
+    inverse = inverse_frequencies(document_frequencies(normed))
+    weights = spark.sparkContext.broadcast(inverse)
+    sampling = weights if weighted else spark.sparkContext.broadcast(damped(inverse))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task signs a text once, so that copies meet in as few rows as there are tasks
         for batch in batches:
-            unique = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            unique = {doc: text for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if doc not in seen}
+            seen |= unique.keys()
             ids, values = np.array(list(unique), np.int64), list(unique.values())
             for a, b in chunks(values):
                 # a shingle that a text repeats draws the same again, so the minima are those of the set
                 text, grams = shingles_of(values[a:b])
-                signature = signatures(b - a, text, grams, weights.value[cells_of(grams)])
-                bands = band_keys(signature)
-                if not weighted:
-                    signature = signatures(b - a, text, grams, None)
-                    bands = np.hstack([bands, band_keys(signature, BANDS)])
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * bands.shape[1]), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b]), keys, *map(pa.array, sketches(signature))], names=["doc", "keys", "x", "y"])
+                signature = signatures(b - a, text, grams, sampling.value[cells_of(grams)])
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(band_keys(signature).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b]), keys, *map(pa.array, sketches(signature))], names=["doc", "keys", *BITS, *NIBBLES])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,18 +246,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool =
                 heavy.append(wb / (wx + wy - wb))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(plain, pa.float64()), pa.array(heavy, pa.float64())], names=["doc_a", "doc_b", "jaccard", "weighted_jaccard"])
 
-    signs = materialize(normed.select("doc", "text").mapInArrow(signed, "doc bigint, keys array<bigint>, x bigint, y bigint"), "signs")
-    banded = signs.select("doc", F.explode("keys").alias("key")).repartition("key").distinct()
+    longs = ", ".join(f"{c} bigint" for c in (*BITS, *NIBBLES))
+    signs = materialize(normed.select("doc", "text").mapInArrow(signed, f"doc bigint, keys array<bigint>, {longs}"), "signs")
+    # a plain join of two shuffled sides: adaptive execution splits the partition of a hot band
+    banded = signs.select("doc", F.explode("keys").alias("key"))
     met = banded.withColumnRenamed("doc", "doc_a").join(banded.withColumnRenamed("doc", "doc_b"), "key").where(F.col("doc_a") < F.col("doc_b")).select("doc_a", "doc_b").distinct()
-    sketch = signs.select("doc", "x", "y").dropDuplicates(["doc"])
-    agreeing = 2 * (BANDS * WIDTH // 2) - F.bit_count(F.col("x").bitwiseXOR(F.col("u"))) - F.bit_count(F.col("y").bitwiseXOR(F.col("v")))
-    candidates = materialize(
-        met.join(sketch.withColumnRenamed("doc", "doc_a"), "doc_a")
-        .join(sketch.select(F.col("doc").alias("doc_b"), F.col("x").alias("u"), F.col("y").alias("v")), "doc_b")
-        .where(agreeing >= LEAST_BITS)
-        .select("doc_a", "doc_b"),
-        "candidates",
-    )
+    agreeing = _agreeing(met, signs, BITS, F.bit_count, LEAST_BITS)
+    lowest = F.lit(0x1111111111111111).cast("bigint")
+    differing = lambda x: F.bit_count((x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))).bitwiseAND(lowest))
+    candidates = materialize(_agreeing(agreeing, signs, NIBBLES, differing, LEAST_NIBBLES), "candidates")
     wanted = candidates.select(F.col("doc_a").alias("doc")).union(candidates.select(F.col("doc_b").alias("doc"))).distinct()
     representative = normed.join(wanted, "doc", "left_semi").select("doc", "text").dropDuplicates(["doc"])
     sides = materialize(representative, "sides")
@@ -259,3 +274,16 @@ def near_pairs(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     same = members.join(copied, "doc", "left_semi")
     within = same.withColumnRenamed("id", "id_a").join(same.withColumnRenamed("id", "id_b"), "doc").where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b")
     return across.unionByName(within)
+
+
+def near_members(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(id, class_id, links)``: each id that has a near duplicate, the least id with an equal normalized text, and the number of other classes its class is linked to.
+
+    Copies alone have 0 links. The rows are as many as ids, however large a group is.
+    """
+    members, links = near_classes(docs, threshold)
+    members, links = materialize(members, "members"), materialize(links.select("doc_a", "doc_b"), "links")
+    counts = links.select(F.col("doc_a").alias("doc")).unionAll(links.select(F.col("doc_b").alias("doc"))).groupBy("doc").agg(F.count("*").alias("links"))
+    classes = members.groupBy("doc").agg(F.min("id").alias("class_id"), F.count("*").alias("ids"))
+    found = classes.join(counts, "doc", "left").where((F.col("ids") > 1) | F.col("links").isNotNull())
+    return members.join(found, "doc").select("id", "class_id", F.coalesce("links", F.lit(0)).alias("links"))

@@ -43,6 +43,11 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return near.near_pairs(table(spark, base, "sections"))
 
 
+def p4_classes(spark: SparkSession, base: str) -> DataFrame:
+    """One row for each section with a near duplicate: its class of copies and the number of classes linked to it."""
+    return near.near_members(table(spark, base, "sections"))
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return canonical.uncommon_fields(table(spark, base, "sections")).select("id", "field").distinct()
 
