@@ -8,6 +8,7 @@ and languages by scripts and function words.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -24,7 +25,7 @@ _FENCE = re.compile(r"^[ \t]*(```+|~~~+)[^\n`]*$", re.M)
 _TAG = re.compile(r"<[/!]?[A-Za-z][^<>\n]*>|<!--.*?-->|&(?:nbsp|zwnj|#\d+);", re.S)
 _APART = re.compile(r"[\W_]+")
 #: A line that only announces the answer: a heading, or a short line that ends with a colon.
-_LEAD = re.compile(r"\s*(?:#{1,6}[ \t]*[^\n]{0,40}|(?:\*\*)?[^\n。！？.!?|{}\[\]]{1,40}[:：](?:\*\*)?)[ \t]*(?=\n|$)")
+_LEAD = re.compile(r"\s*(?:#{1,6}[ \t]*[^\n]*|(?:\*\*)?[^\n。！？.!?|{}\[\]]+[:：](?:\*\*)?)[ \t]*(?=\n|$)")
 #: Words that stand for nothing.
 NOTHING = {"null", "none", "nil", "na", "nan", "undefined", "empty", "无", "無", "空", "无内容", "無內容"}
 
@@ -71,42 +72,54 @@ def is_empty(text: str | None) -> bool:
 
 
 def tiles(a: str, b: str, least: int = 12, band: int | None = None) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: common stretches ``(start in a, start in b, length)`` that don't overlap, the longest at each place from the left of ``a``; with ``band``, only those whose starts are that close."""
+    """Greedy string tiling: common stretches ``(start in a, start in b, length)`` that don't overlap, the longest of all first, ties from the left of ``a`` and then of ``b``; with ``band``, only those whose starts are that close."""
     seeds: dict[str, list[int]] = {}
     for j in range(len(b) - least + 1):
         seeds.setdefault(b[j : j + least], []).append(j)
-    used = bytearray(len(b))
-    out, i = [], 0
-    while i <= len(a) - least:
+    heap: list[tuple[int, int, int]] = []
+    for i in range(len(a) - least + 1):
         found = seeds.get(a[i : i + least], [])
         if band is not None:
             found = found[bisect_left(found, i - band) : bisect_right(found, i + band)]
-        best = (0, 0)
         for j in found:
-            if used[j]:
-                continue
+            if i and j and a[i - 1] == b[j - 1] and (band is None or abs(j - i) <= band):
+                continue  # the stretch begins further left
             n = least
-            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used[j + n]:
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
                 n += 1
-            best = max(best, (n, -j))
-        n, j = best[0], -best[1]
-        if n:
+            heap.append((-n, i, j))
+    heapq.heapify(heap)
+    in_a, in_b = bytearray(len(a)), bytearray(len(b))
+    out = []
+    while heap:
+        n, i, j = heapq.heappop(heap)
+        n = -n
+        if not any(in_a[i : i + n]) and not any(in_b[j : j + n]):
             out.append((i, j, n))
-            used[j : j + n] = b"\1" * n
-            i += n
-        else:
-            i += 1
-    return out
+            in_a[i : i + n] = in_b[j : j + n] = b"\1" * n
+            continue
+        # what tiles have left of the stretch, each part by its own length
+        begun = None
+        for k in range(n + 1):
+            if k < n and not in_a[i + k] and not in_b[j + k]:
+                begun = k if begun is None else begun
+            elif begun is not None:
+                if k - begun >= least:
+                    heapq.heappush(heap, (begun - k, i + begun, j + begun))
+                begun = None
+    return sorted(out)
 
 
 def _passages(prompt: str) -> list[str]:
-    """The prompt, and what follows its instruction: one or two short opening lines."""
-    found, rest = [prompt], prompt
-    for _ in range(2):
-        line, newline, rest = rest.strip("\n").partition("\n")
-        if not newline or len(line) > 120:
+    """The prompt, and what follows its instruction: one or two opening lines, or all up to a line that ends with a colon, while they are the shorter part."""
+    found, at = [prompt], 0
+    for number, line in enumerate(prompt.strip("\n").split("\n")):
+        at += len(line) + 1
+        rest = prompt.strip("\n")[at:]
+        if len(rest) < at:
             break
-        found.append(rest)
+        if number < 2 or line.rstrip().endswith((":", "：")):
+            found.append(rest)
     return found
 
 
@@ -116,25 +129,17 @@ def is_copied(text: str, prompt: str | None) -> bool:
         return False
     body = _body(text)
     own = _END.sub("", _FENCE.sub("", body).rstrip())
-    passages = None
-    for answer in {_plain(x) for x in {body, own, _without_lead(own)}}:
-        if not answer:
-            continue
-        if passages is None:
-            # a slip may hide one of three short stretches of a copy, but not all
-            whole, n = _plain(prompt), len(answer)
-            if not any(answer[k : k + 8] in whole for k in (n // 4, n // 2, n * 3 // 4)):
-                return False
-            passages = [_plain(x) for x in _passages(prompt)]
+    passages = [p for p in dict.fromkeys(map(_plain, _passages(prompt))) if p]
+    for answer in {_plain(x) for x in (body, own, _without_lead(own))}:
         for passage in passages:
-            # what comes before the passage's first words is a lead-in on the same line, if it is short
-            answer = answer[max(answer.find(passage[:16], 0, 40), 0) :]
-            if not passage or len(answer) > len(passage) + 2 or len(answer) < 0.8 * len(passage):
+            # what comes before the passage's first words is a lead-in on the same line, if it is a small part
+            copy = answer[max(answer.find(passage[:16], 0, len(answer) // 5 + 16), 0) :]
+            if not copy or not 0.8 * len(passage) <= len(copy) <= len(passage) + 2:
                 continue
-            if passage.startswith(answer):
+            if passage.startswith(copy):
                 return True
             # nothing of its own, and from the start: all of the answer in place, but for a slip at a seam
-            if sum(n for *_, n in tiles(answer, passage, band=len(answer) // 50 + 2)) >= 0.98 * len(answer):
+            if sum(n for *_, n in tiles(copy, passage, band=len(copy) // 50 + 2)) >= 0.98 * len(copy):
                 return True
     return False
 
@@ -147,14 +152,27 @@ _APOLOGY = re.compile(
     r"抱歉|对不起|對不起|不好意思|遗憾|遺憾|唔好意思|對唔住|对唔住|请原谅|請原諒|见谅|見諒|\b(?:sorry|apolog\w+|regret\w*|unfortunately|forgive me)\b|désolé|regrette|malheureusement|lo siento|lamento|leider|tut mir leid|entschuldig|mi dispiace|desculpe|申し訳|すみません|ごめん|죄송|извин|к сожалению",
     re.I,
 )
-_DECLINE = re.compile(
-    r"(?:无法|無法|不能|不便|不会|不會|不可以|没有办法|沒有辦法|没办法|沒辦法|暂不支持|暫不支持|不支持|选择不|選擇不|拒绝|拒絕|婉拒|不予|不提供|不打算|难以|難以|不方便|恕不|冇辦法|冇办法|唔方便|唔可以|唔能夠|唔會|唔能|唔提供|幫唔到|帮不了|做不到|做唔到)"
-    r"[^，。！？,\n]{0,14}?(?:协助|協助|帮|幫|翻译|翻譯|译|譯|继续|繼續|完成|处理|處理|提供|回答|答|合并|合併|改写|改寫|输出|輸出|给出|給出|总结|總結|满足|滿足|执行|執行|写|寫|生成|讨论|討論|回应|回應|答复|答覆|处置|整理|摘要|归纳|歸納|請求|请求|这个|呢個)"
-    r"|\b(?:can(?:'|’)?t|cannot|can not|won(?:'|’)?t|will not|unable to|not able to|not in a position to|(?:must|have to|need to|choose to|will) (?:decline|refuse|pass on)|decline to|refuse to|not going to|not permitted to|not allowed to|don(?:'|’)t feel comfortable|prefer not to|rather not|not comfortable|couldn(?:'|’)?t|isn(?:'|’)?t possible (?:for me )?to|not possible to)\b"
-    r"|\b(?:is|are|be|been|was) (?:declined|refused|not supported|not permitted|not allowed|not possible|beyond)\b|\bgoes against\b|\bagainst (?:the |my |our )?(?:policy|policies|guidelines|rules)\b|\bno (?:translation|answer|summary|merge|merged \w+|text|output|reply|response|outline|rewrite) (?:will|can|is)\b|\bhave to pass on\b|\bnothing further will be\b|\b(?:outside|beyond) (?:my|the) (?:scope|ability|abilities)\b"
-    r"|ne (?:peux|puis|suis) pas|ne pouvons pas|impossible de|no puedo|no podemos|kann (?:ich )?(?:leider )?nicht|kann das nicht|non posso|não posso|できません|いたしかねます|お断り|お手伝いでき|할 수 없|도와드릴 수|не могу|не можем",
-    re.I,
-)
+#: What fills the slots of the grammar of declining.
+_SLOTS = {
+    "unable": "无法|無法|不能|不便|不会|不會|不可以|没有办法|沒有辦法|没办法|沒辦法|暂不支持|暫不支持|不支持|选择不|選擇不|拒绝|拒絕|婉拒|不予|不提供|不打算|难以|難以|不方便|恕不|冇辦法|冇办法|唔方便|唔可以|唔能夠|唔會|唔能|唔提供|幫唔到|帮不了|做不到|做唔到",
+    "task": "协助|協助|帮|幫|翻译|翻譯|译|譯|继续|繼續|完成|处理|處理|提供|回答|答|合并|合併|改写|改寫|输出|輸出|给出|給出|总结|總結|满足|滿足|执行|執行|写|寫|生成|讨论|討論|回应|回應|答复|答覆|处置|整理|摘要|归纳|歸納|請求|请求|这个|呢個",
+    "near": r"[^，。！？,\n]{0,14}?",
+    "cannot": r"can(?:'|’)?t|cannot|can not|couldn(?:'|’)?t|won(?:'|’)?t|will not|(?:un|not )able to|not in a position to|not going to|not (?:permitted|allowed) to|prefer not to|rather not|(?:isn(?:'|’)?t|not) possible (?:for me )?to",
+    "decline": "decline|refuse|pass on",
+    "must": "must|have to|need to|choose to|will",
+    "ease": r"(?:don(?:'|’)t feel|not) comfortable",
+    "be": "is|are|be|been|was",
+    "refused": "declined|refused|not supported|not permitted|not allowed|not possible|beyond",
+    "rules": "policy|policies|guidelines|rules",
+    "result": r"translation|answer|summary|merge|merged \w+|text|output|reply|response|outline|rewrite",
+    "abroad": "ne (?:peux|puis|suis) pas|ne pouvons pas|impossible de|no puedo|no podemos|kann (?:ich )?(?:leider )?nicht|kann das nicht|non posso|não posso|できません|いたしかねます|お断り|お手伝いでき|할 수 없|도와드릴 수|не могу|не можем",
+}
+#: The rules of the grammar: a slot's name in angle brackets stands for any of its fillers.
+_RULES = (
+    "<unable><near><task>", r"\b<cannot>\b", r"\b<must> <decline>\b", r"\b<decline> to\b", r"\b<ease>\b", r"\b<be> <refused>\b", r"\bgoes against\b", r"\bagainst (?:the |my |our )?<rules>\b",
+    r"\bno <result> (?:will|can|is)\b", r"\bnothing further will be\b", r"\b(?:outside|beyond) (?:my|the) (?:scope|ability|abilities)\b", "<abroad>",
+)
+_DECLINE = re.compile("|".join(re.sub("<([a-z]+)>", lambda m: f"(?:{_SLOTS[m.group(1)]})", rule) for rule in _RULES), re.I)
 _AGENT = re.compile(
     r"我|本助手|本系统|本系統|这里|這裡|呢度|作为(?:一个)?(?:语言)?模型|作為(?:一個)?(?:語言)?模型|作為|根据使用规范|根據使用規範|出于安全|出於安全|这类请求|這類請求|此类|恕|目前|暂|\b(?:i|i'm|i’m|we|my|as an? (?:ai|language model|assistant))\b|\b(?:this|that|the) (?:request|task|passage|content|text|material|message|document|input|prompt)\b|\bnothing further\b|\bno (?:translation|answer|summary)|je |nous |yo |ich |io |eu |私|저|я ",
     re.I,

@@ -184,3 +184,43 @@ def test_exemplars_are_a_parameter_and_phrases_unseen_are_found(spark):
     )
     assert {r.doc_id for r in residue.residue(docs, [("notice", "zorp glim"), ("filler", "fleeb")]).collect()} == {1}
     assert {r.doc_id for r in residue.residue(docs).collect()} == {3, 4}
+
+
+def test_copies_with_slips_anywhere_are_copies():
+    rng = random.Random(4)
+    passage = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    for places in ((100, 200, 300), (120, 220, 320), (103, 203, 303)):
+        slipped = "".join("呀" if n in places else c for n, c in enumerate(passage))
+        assert answers.is_copied(slipped, "请翻译：\n" + passage)
+    assert not answers.is_copied("".join(rng.sample(passage, 400)), "请翻译：\n" + passage)
+    long_instruction = "请把下面的段落译成英文，保留所有数字与人名，不要添加任何解释。" * 5
+    assert answers.is_copied(passage, long_instruction + "\n" + passage)
+
+
+def test_tiles_take_the_longest_first():
+    a = "abcdefghijklmno" + "pqrstuvwxyz0123456789"
+    b = a[:15] + "#" + a[3:36]
+    assert answers.tiles(a, b) == [(3, 16, 33)]  # what is left of the shorter stretch is too short for a tile
+    rng = random.Random(5)
+    for _ in range(200):
+        x, y = ("".join(rng.choices("ab", k=rng.randint(0, 14))) for _ in range(2))
+        assert answers.tiles(x, y, 2) == brute_tiles(x, y, 2)
+
+
+def brute_tiles(a, b, least):
+    out, in_a, in_b = [], set(), set()
+    while True:
+        best = None
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and i + n not in in_a and j + n not in in_b:
+                    n += 1
+                if n >= least and (best is None or (-n, i, j) < best):
+                    best = (-n, i, j)
+        if best is None:
+            return sorted(out)
+        n, i, j = -best[0], best[1], best[2]
+        out.append((i, j, n))
+        in_a |= set(range(i, i + n))
+        in_b |= set(range(j, j + n))
