@@ -102,7 +102,8 @@ _UNUSUAL = (
     r"[\x{FF10}-\x{FF19}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{300}-\x{36F}\x{20D0}-\x{20DC}\x{AD}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{FEFF}\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}"
     r"\x{2E80}-\x{2FD5}\x{F900}-\x{FA0D}\x{FA30}-\x{FAD9}]|[A-Za-z\x{C0}-\x{24F}][\x{370}-\x{3FF}\x{400}-\x{52F}]|[\x{370}-\x{3FF}\x{400}-\x{52F}][A-Za-z\x{C0}-\x{24F}]"
 )
-_NO_BOOK = ", ".join(f"'{x}'" for x in survivorship.NO_BOOK)
+#: What the letters and digits of a stand-in say; written for the SQL alone, apart from the operator's list.
+_UNNAMED = "'', 'na', 'nil', 'none', 'null', 'nan', 'unknown', 'untitled', 'tbd', '无', '無', '未知', '不详', '不詳', '未详', '未詳', '佚名', '暂无', '暫無', '待定', '待补', '待補', '待补充', '待補充'"
 
 
 def _unjoined(column: str) -> str:
@@ -120,7 +121,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": f"""WITH RECURSIVE s AS (SELECT id, any_value(text) AS text, any_value(source_stem) AS stem, any_value(source_book) AS book, any_value(duplicate_of) AS dup FROM sections GROUP BY id),
             e AS (SELECT a.id AS x, a.dup AS y FROM s a SEMI JOIN s b ON a.dup = b.id WHERE a.id <> a.dup), u AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
             r AS (SELECT x AS node, x AS seen FROM u UNION SELECT r.node, u.y FROM r JOIN u ON r.seen = u.x), g AS (SELECT node AS id, min(seen) AS group_id FROM r GROUP BY node),
-            m AS (SELECT g.group_id, s.id, coalesce(length(text), 0) AS size, trust, CASE WHEN lower(trim(book)) IN ({_NO_BOOK}) THEN NULL ELSE book END AS book FROM g JOIN s USING (id) LEFT JOIN imprints ON imprint = string_split(stem, '-')[1])
+            m AS (SELECT g.group_id, s.id, coalesce(length(text), 0) AS size, trust, CASE WHEN lower(regexp_replace(book, '[^\\pL\\pN]', '', 'g')) IN ({_UNNAMED}) THEN NULL ELSE book END AS book FROM g JOIN s USING (id) LEFT JOIN imprints ON imprint = string_split(stem, '-')[1])
             SELECT a.group_id, a.id AS survivor_id, b.book AS source_book FROM (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY size DESC, id) = 1) a
             LEFT JOIN (SELECT * FROM m WHERE book IS NOT NULL QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY trust DESC NULLS LAST, size DESC, id) = 1) b ON a.group_id = b.group_id""",
         "p5_found": f"""SELECT DISTINCT id, 'text' AS field FROM sections WHERE regexp_matches({_unjoined('text')}, '{_UNUSUAL}') OR contains({_unjoined('text')}, chr(8205))
