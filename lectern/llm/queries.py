@@ -49,7 +49,8 @@ def p4_classes(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
-    return canonical.uncommon_fields(table(spark, base, "sections")).select("id", "field").distinct()
+    unusual = F.arrays_overlap("classes", F.array(*map(F.lit, canonical.UNUSUAL)))
+    return canonical.uncommon_fields(table(spark, base, "sections")).where(unusual).select("id", "field").distinct()
 
 
 def p5_canonical(spark: SparkSession, base: str) -> DataFrame:

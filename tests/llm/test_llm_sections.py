@@ -281,3 +281,16 @@ def test_a_third_of_all_rows_alike(spark):
     chained = sections(spark, [(n, f"i{n:03d}", "s-1", "书", None, "x" * n, "i299" if n < 299 else None) for n in range(300)])
     imprints = spark.createDataFrame([("s", 1)], "imprint string, trust int")
     assert [tuple(r) for r in survivorship.survivors(chained, imprints).collect()] == [("i000", "i299", "书")]
+
+
+def test_canonical_form_is_closed():
+    others = [chr(c) for c in range(0x370, 0x530) if canonical._OTHER.match(chr(c))]
+    for c in others:
+        for a in "aZkq":
+            for word in (a + c, c + a, a + c + a, c + a + c):
+                settled = canonical.canonical(word)
+                assert canonical.classes_of(settled) == [] and canonical.canonical(settled) == settled, word
+    for word, want in {"kот": "kot", "кoт": "кот", "тext": "text", "вook": "book", "gоmма": "gomma", "привeт": "привет", "ﬁne": "fine", "ｶﾅ": "カナ", "é": "é", "αβγ": "αβγ", "①²…！": "①²…！"}.items():
+        assert canonical.canonical(word) == want, word
+    for text in ("x́", "́", "你́​好", "ｗ́  ", "⼈一"):
+        assert canonical.classes_of(canonical.canonical(text)) == []
