@@ -76,6 +76,12 @@ def p8_ids(spark: SparkSession, base: str) -> DataFrame:
     return tokens.encode_texts(table(spark, base, "documents").select("doc_id", "text"))
 
 
+def p8_decoded(spark: SparkSession, base: str) -> DataFrame:
+    """Every text, encoded and decoded again; a null text comes back empty."""
+    encoded = p8_ids(spark, base)
+    return encoded.select("doc_id", tokens.decode_ids(F.col("ids")).alias("text"))
+
+
 def _mixture(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     sizes = mixing.sized(table(spark, base, "documents"))
     plan = mixing.plan_of(sizes, table(spark, base, "mix_targets"))
@@ -127,5 +133,6 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN (SELECT * FROM m WHERE book IS NOT NULL QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY trust DESC NULLS LAST, size DESC, id) = 1) b ON a.group_id = b.group_id""",
         "p5_found": f"""SELECT DISTINCT id, 'text' AS field FROM sections WHERE regexp_matches({_unjoined('text')}, '{_UNUSUAL}') OR contains({_unjoined('text')}, chr(8205))
             UNION SELECT DISTINCT id, 'heading_path' FROM (SELECT id, unnest(heading_path) AS part FROM sections) WHERE regexp_matches({_unjoined('part')}, '{_UNUSUAL}') OR contains({_unjoined('part')}, chr(8205))""",
+        "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
         "p7_found": "SELECT DISTINCT id FROM sections WHERE length(text) > 4000",
     }
