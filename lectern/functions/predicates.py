@@ -65,7 +65,7 @@ def returns_to_contents_alone(line: Column) -> Column:
 
 
 def is_metadata_line(line: Column) -> Column:
-    return line.rlike(rf"(?i:ISBN)|版权所有|责任编辑|责任印制|出版发行|中国版本图书馆|{EDGE[0]}CIP{EDGE[1]}|\*\*[^*]{{1,12}}：\*\*")
+    return line.rlike(rf"(?i:ISBN)|版权所有|图书在版编目|责任编辑|责任印制|出版发行|中国版本图书馆|{EDGE[0]}CIP{EDGE[1]}|\*\*[^*]{{1,12}}：\*\*")
 
 
 def has_prose(lines: Column, least: int = 40) -> Column:
@@ -75,8 +75,8 @@ def has_prose(lines: Column, least: int = 40) -> Column:
 
 
 def is_imprint_text(text: Column) -> Column:
-    """A cataloguing block, or an ISBN with rights or editors."""
-    return text.rlike(rf"{EDGE[0]}CIP{EDGE[1]}") | text.contains("图书在版编目") | (text.rlike("(?i)ISBN") & text.rlike("版权所有|责任编辑"))
+    """A cataloguing block, or an ISBN with rights, editors or printers."""
+    return text.rlike(rf"{EDGE[0]}CIP{EDGE[1]}|CIP数据|图书在版编目") | (text.rlike("(?i)ISBN") & text.rlike("版权所有|责任编辑|责任印制"))
 
 
 def is_colophon(paragraph: Column) -> Column:

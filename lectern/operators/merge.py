@@ -11,6 +11,7 @@ from lectern.functions.text import heading_path_key
 from lectern.operators.similarity import estimated_jaccard, exact_jaccard, novel_paragraphs, shingle_set, signatures
 
 MERGEABLE = ("body", "preface", "skill_test")
+#: Fixed value: phrases of a digest, which a merged text may not hold.
 FORBIDDEN = "总之，本[章节]|综上所述|(?i:In summary)|(?i:this chapter covers)|(?i:the sources generally say)"
 
 
@@ -20,6 +21,13 @@ def gathered(assignments: DataFrame, sections: DataFrame) -> DataFrame:
     return assignments.select(F.col("section_id").alias("id"), F.col("primary_node_id").alias("node_id"), F.col("ord").alias("assigned")).join(rows, "id")
 
 
+def true_links(sections: DataFrame) -> DataFrame:
+    """``sections`` with ``duplicate_of`` null where it names the row itself or an id that does not exist."""
+    ids = sections.select(F.col("id").alias("_present")).where(F.col("_present").isNotNull()).distinct()
+    linked = sections.join(ids, F.col("duplicate_of") == F.col("_present"), "left")
+    return linked.withColumn("duplicate_of", F.when((F.col("id") != F.col("_present")), F.col("duplicate_of"))).drop("_present")
+
+
 def unique_members(members: DataFrame, group: list[str]) -> DataFrame:
     """Members that are no duplicates of others; all of them where every one is."""
     firsts = members.groupBy(*group).agg(F.max(F.col("duplicate_of").isNull()).alias("_any"))
@@ -60,8 +68,8 @@ def union_metrics(members: DataFrame, pairs: DataFrame, group: list[str]) -> Dat
 
 
 def required_token_rows(members: DataFrame, group: list[str]) -> DataFrame:
-    """``(group, token, first)``: each fact of a group's texts once, with where it stands first. Tokens are deduplicated map-side; a group of any size is never gathered."""
-    rows = members.select(*group, F.posexplode(coverage.flat_tokens(coverage.token_families(F.col("text")))).alias("at", "token"), "id")
+    """``(group, token, first)``: each fact of the texts that are no duplicates once, with where it stands first; a group of duplicates alone needs none. Tokens are deduplicated map-side; a group of any size is never gathered."""
+    rows = members.where(F.col("duplicate_of").isNull()).select(*group, F.posexplode(coverage.flat_tokens(coverage.token_families(F.col("text")))).alias("at", "token"), "id")
     return rows.groupBy(*group, "token").agg(F.min(F.struct("id", "at")).alias("first"))
 
 

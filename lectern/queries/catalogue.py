@@ -312,7 +312,7 @@ def unique_members(spark: SparkSession, base: str) -> DataFrame:
 def required_facts(spark: SparkSession, base: str) -> DataFrame:
     """The facts that the merged text of each group of a heading must keep, among members that are no duplicates."""
     rows = _assigned(spark, base, text="text", duplicate_of="duplicate_of", chapter=F.slice(_path(), 1, 1)).where(F.col("text").isNotNull()).withColumn("heading", T.heading_path_key(F.col("chapter")))
-    found = merge.required_token_rows(merge.unique_members(rows, ["node_id", "heading"]), ["node_id", "heading"])
+    found = merge.required_token_rows(rows, ["node_id", "heading"])
     return found.groupBy("node_id", "heading").agg(F.count("*").alias("facts"))
 
 

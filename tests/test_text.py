@@ -105,3 +105,18 @@ def test_budgets(value):
     assert value(b.needed_tokens(F.lit(100), 0.0)) == 356 and value(b.max_tokens(F.lit(100), 1.0, F.lit(4))) == 8192
     assert value(b.over_budget(F.lit(10), F.lit(9000), 100, 1.0)) and not value(b.over_budget(F.lit(10), F.lit(90), 100, 1.0))
     assert value(b.summary_tokens(F.lit(100))) == 256 and value(b.script_tokens(F.lit(10**6))) == 8192 and b.backoff_seconds(9) == 8.0
+
+
+def test_muscles_and_numbered_items_begin_and_end_as_they_should(value):
+    families = lambda t: value(coverage.token_families(F.col("t")), t=t)
+    assert families("只由两块肌和令这两组肌发会造成肌肉紧张，颧大肌和眼轮匝肌除外。").muscles == ["颧大肌", "眼轮匝肌"]
+    assert families("和咬肌收缩，与颧肌；将口轮匝肌").muscles == ["咬肌", "颧肌", "口轮匝肌"]
+    eleven, twelve = "一二三四五六七八九十上", "一二三四五六七八九十上下"
+    assert families(f"1. {eleven}。\n2. {twelve}。\n3. {twelve}").numbered == [eleven, twelve]
+
+
+def test_imprints(value):
+    for text in ("CIP数据核字（2010）", "ISBN 978\n责任印制：某", "图书在版编目"):
+        assert value(predicates.is_imprint_text(F.col("t")), t=text) is True
+    assert value(predicates.is_metadata_line(F.col("t")), t="图书在版编目（CIP）") is True
+    assert value(predicates.is_imprint_text(F.col("t")), t="ISBN 978") is False
