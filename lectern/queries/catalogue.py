@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,6 +30,22 @@ _WORDS = r"[^\p{L}\p{N}_]+"
 _SECTIONS = "(SELECT * FROM sections QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord) = 1)"
 
 
+def _nfkc(x: str) -> str:
+    """NFKC in SQL, for letters and digits: characters that become one other by translation, those that become several one by one, then composition."""
+    single, several = {}, []
+    for code in (*range(0xA0, 0x3400), *range(0xF900, 0x10000)):
+        new = unicodedata.normalize("NFKC", chr(code))
+        if new != chr(code) and any(c.isalnum() for c in new):
+            if len(new) == 1:
+                single[chr(code)] = new
+            elif 0x2100 <= code <= 0x218B or 0xBC <= code <= 0xBE or 0xFB00 <= code <= 0xFB06 or code in (0x338E, 0x338F, 0x339D, 0x33A1):
+                several.append((chr(code), new))
+    out = f"translate({x}, '{''.join(single)}', '{''.join(single.values())}')"
+    for c, new in several:
+        out = f"replace({out}, '{c}', '{new}')"
+    return f"nfc_normalize({out})"
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def added(f: Query) -> Query:
         _QUERIES[f.__name__] = f
@@ -74,16 +91,16 @@ def source_manifest(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-@query(f"SELECT doc_id, sha256(regexp_replace(text, '{_WORDS}', '', 'g')) AS content_hash FROM documents")
+@query(f"SELECT doc_id, sha256(regexp_replace({_nfkc('text')}, '{_WORDS}', '', 'g')) AS content_hash FROM documents")
 def content_hashes(spark: SparkSession, base: str) -> DataFrame:
-    return table(spark, base, "documents").select("doc_id", T.content_hash(F.col("text"), stable=True).alias("content_hash"))
+    return table(spark, base, "documents").select("doc_id", T.content_hash(F.col("text")).alias("content_hash"))
 
 
 @query(f"""SELECT h AS content_hash, count(*) AS members, arg_min(doc_id, struct_pack(a := -length(text), b := doc_id)) AS canonical
-  FROM (SELECT *, sha256(regexp_replace(text, '{_WORDS}', '', 'g')) AS h FROM documents WHERE text IS NOT NULL) GROUP BY h HAVING count(*) > 1""")
+  FROM (SELECT *, sha256(regexp_replace({_nfkc('text')}, '{_WORDS}', '', 'g')) AS h FROM documents WHERE text IS NOT NULL) GROUP BY h HAVING count(*) > 1""")
 def exact_dup_groups(spark: SparkSession, base: str) -> DataFrame:
     """Groups of equal content with their longest document."""
-    rows = table(spark, base, "documents").where(F.col("text").isNotNull()).select("doc_id", F.length("text").alias("size"), T.content_hash(F.col("text"), stable=True).alias("content_hash"))
+    rows = table(spark, base, "documents").where(F.col("text").isNotNull()).select("doc_id", F.length("text").alias("size"), T.content_hash(F.col("text")).alias("content_hash"))
     return rows.groupBy("content_hash").agg(F.count("*").alias("members"), F.min(F.struct(-F.col("size"), "doc_id")).getField("doc_id").alias("canonical")).where("members > 1")
 
 
@@ -542,9 +559,18 @@ def event_sessions(spark: SparkSession, base: str) -> DataFrame:
     return sessions(table(spark, base, "events"), "ts", "user_id")
 
 
+def _details() -> None:
+    """Adds the queries of the single functions, and the SQL they share with queries here."""
+    from lectern.queries import details
+
+    _SQL.update(section_kinds=details.SECTION_KINDS, parsed_merges=details.PARSED_MERGES, preseeded_headings=details.PRESEEDED)
+
+
 def queries() -> dict[str, Query]:
+    _details()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _details()
     return dict(_SQL)
