@@ -21,6 +21,10 @@ ANSWER = "cache_key string, response_text string, finish_reason string, input_to
 RETRIES = 3
 
 
+class ModelError(RuntimeError):
+    """A model service refused a call, or answered nothing that can be read."""
+
+
 class Provider(Protocol):
     """What a model service offers. It is built on the executors, one for each partition."""
 
@@ -74,7 +78,7 @@ class HttpProvider:
                     return record_of(json.load(reply))
             except urllib.error.HTTPError as error:
                 if attempt == RETRIES or (error.code != 429 and error.code < 500):
-                    raise RuntimeError(redacted(f"{error.code}: {error.read().decode(errors='replace')}", self.api_key)) from None
+                    raise ModelError(redacted(f"{error.code}: {error.read().decode(errors='replace')}", self.api_key)) from None
             except (urllib.error.URLError, TimeoutError):
                 if attempt == RETRIES:
                     raise
@@ -84,7 +88,7 @@ class HttpProvider:
 
 def record_of(data: dict) -> tuple[str, str, int, int]:
     if not data.get("choices"):
-        raise RuntimeError("no choices in the answer")
+        raise ModelError("no choices in the answer")
     choice, usage = data["choices"][0], data.get("usage") or {}
     return (choice.get("message") or {}).get("content") or "", choice.get("finish_reason") or "stop", int(usage.get("prompt_tokens") or 0), int(usage.get("completion_tokens") or 0)
 

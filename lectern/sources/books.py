@@ -58,9 +58,9 @@ def changed_only(found: DataFrame, manifest: DataFrame, version: str) -> DataFra
 
 
 def read_sections(spark: SparkSession, folder: str) -> DataFrame:
-    """Section files of JSON arrays, with ``ord`` by file and place."""
-    rows = spark.read.schema(SECTION_ROW).option("multiLine", "true").json(f"{folder}/*.sections.json")
-    return rows.withColumn("file", F.input_file_name())
+    """Section files of JSON arrays, with ``ord``, the place within the file, and the file's name; files are in the order of their names."""
+    files = spark.read.text(f"{folder}/*.sections.json", wholetext=True).select(F.input_file_name().alias("file"), F.from_json("value", f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in SECTION_ROW.split(', '))}>>").alias("rows"))
+    return files.select("file", F.posexplode("rows").alias("ord", "s")).select("s.*", "file", "ord")
 
 
 def read_conflicts(spark: SparkSession, path: str) -> DataFrame:
@@ -72,8 +72,14 @@ def read_token_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("chars_out double, output_tokens double").option("mode", "PERMISSIVE").json(path)
 
 
+def has_table(spark: SparkSession, path: str) -> bool:
+    """True where a table has been written and committed."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def publish(df: DataFrame, path: str, format: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Writes beside the target and renames: the old table stays whole until the new one is complete."""
+    """Writes beside the target and renames: the old table stays whole until the new one is complete. Between the two renames there is no table; a reader that finds none tries again."""
     spark = df.sparkSession
     staged = f"{path}.partial-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
