@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +114,19 @@ _UNUSUAL = (
 _UNNAMED = "'', 'na', 'nil', 'none', 'null', 'nan', 'unknown', 'untitled', 'tbd', '无', '無', '未知', '不详', '不詳', '未详', '未詳', '佚名', '暂无', '暫無', '待定', '待补', '待補', '待补充', '待補充'"
 
 
+def _nfkc(x: str) -> str:
+    """NFKC in SQL, by a rule: characters that become one other by translation, the ellipsis and composition besides."""
+    single = {}
+    for code in (*range(0xA0, 0x3400), *range(0xF900, 0x10000)):
+        new = unicodedata.normalize("NFKC", chr(code))
+        if new != chr(code) and len(new) == 1 and new != "'":
+            single[chr(code)] = new
+    return f"nfc_normalize(replace(translate({x}, '{''.join(single)}', '{''.join(single.values())}'), '…', '...'))"
+
+
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def _unjoined(column: str) -> str:
     """Joiners between emoji taken out; twice, as matches can't overlap."""
     once = f"regexp_replace({column}, '({_EMOJI})\\x{{200D}}({_EMOJI})', '\\1\\2', 'g')"
@@ -125,6 +139,12 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": """WITH t AS (SELECT DISTINCT id, text FROM sections WHERE length(text) >= 80), g AS (SELECT id, unnest(range(0, length(text) - 79)) AS i, text FROM t), h AS (SELECT id, i, substr(text, i + 1, 80) AS gram FROM g),
             r AS (SELECT gram FROM h GROUP BY gram HAVING min(id) <> max(id)), s AS (SELECT id, i, i - lag(i) OVER (PARTITION BY id ORDER BY i) AS step FROM h SEMI JOIN r USING (gram)),
             k AS (SELECT id, i, sum(CASE WHEN step <= 80 THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY i) AS run FROM s) SELECT id, min(i)::BIGINT AS span_start, (max(i) + 80)::BIGINT AS span_end FROM k GROUP BY id, run""",
+        "p2_found": f"""WITH s AS (SELECT DISTINCT id, source_stem, string_split(text, chr(10)) AS l FROM sections WHERE text IS NOT NULL), r AS (SELECT id, source_stem, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS line_no FROM s),
+            f AS (SELECT id, source_stem, line_no, regexp_replace(trim(regexp_replace({_nfkc('line')}, '{_SPACE}+', ' ', 'g')), '[0-9]+', '0', 'g') AS form FROM r), k AS (SELECT source_stem, form FROM f WHERE form <> '' GROUP BY ALL HAVING count(DISTINCT id) >= 8)
+            SELECT DISTINCT id, line_no FROM f SEMI JOIN k USING (source_stem, form)""",
+        "p4_found": f"""WITH t AS (SELECT DISTINCT id, regexp_replace({_nfkc('text')}, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS x FROM sections WHERE text IS NOT NULL), g AS (SELECT id, unnest(list_distinct(list_transform(range(1, length(x) - 3), lambda i: substr(x, i, 5)))) AS g FROM t WHERE length(x) >= 40),
+            n AS (SELECT id, count(*) AS n FROM g GROUP BY id), h AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.id < b.id GROUP BY ALL)
+            SELECT id_a, id_b FROM h JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE k >= 0.55 * (x.n + y.n - k)""",
         "p3_found": f"""WITH RECURSIVE s AS (SELECT id, any_value(text) AS text, any_value(source_stem) AS stem, any_value(source_book) AS book, any_value(duplicate_of) AS dup FROM sections GROUP BY id),
             e AS (SELECT a.id AS x, a.dup AS y FROM s a SEMI JOIN s b ON a.dup = b.id WHERE a.id <> a.dup), u AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
             r AS (SELECT x AS node, x AS seen FROM u UNION SELECT r.node, u.y FROM r JOIN u ON r.seen = u.x), g AS (SELECT node AS id, min(seen) AS group_id FROM r GROUP BY node),
