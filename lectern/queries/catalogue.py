@@ -69,6 +69,13 @@ def first_deliveries(sections: DataFrame, *columns: str) -> DataFrame:
     return best.select("id", "s.*")
 
 
+def originals(sections: DataFrame) -> DataFrame:
+    """Sections that are no duplicates: without a link, or with one to themselves or to an id that does not exist. Only linked rows are shuffled."""
+    ids = sections.select(F.col("id").alias("_present")).where(F.col("_present").isNotNull()).distinct()
+    linked = sections.where(F.col("duplicate_of") != F.col("id")).join(ids, F.col("duplicate_of") == F.col("_present"), "left_anti")
+    return sections.where(F.col("duplicate_of").isNull() | (F.col("duplicate_of") == F.col("id"))).unionByName(linked)
+
+
 def _bucket(rest: str = "heading_path") -> str:
     cases = " ".join("WHEN " + " OR ".join(f"contains(j, '{p}')" for p in patterns) + f" THEN '{bucket}'" for bucket, patterns in inventory.LEXICON.items())
     return f"(CASE {cases} ELSE 'other' END)".replace("contains(j,", f"contains(array_to_string({rest}, ''),")
@@ -239,7 +246,7 @@ def name_mentions(spark: SparkSession, base: str) -> DataFrame:
 @query()
 def coverage_tokens(spark: SparkSession, base: str) -> DataFrame:
     """The facts of each section that is no duplicate, by family."""
-    rows = balanced(table(spark, base, "sections").where(F.col("text").isNotNull() & F.col("duplicate_of").isNull()).select("id", "text"))
+    rows = balanced(originals(table(spark, base, "sections")).where(F.col("text").isNotNull()).select("id", "text"))
     found = rows.select("id", coverage.token_families(F.col("text")).alias("f"))
     return found.select("id", *(F.size(f"f.{name}").alias(name) for name in coverage.FAMILIES), F.array_join(coverage.flat_tokens(F.col("f")), "|").alias("tokens")).distinct()
 
@@ -319,17 +326,17 @@ def gathered_members(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query(f"""SELECT node_id, count(*) AS members FROM (SELECT *, max(CASE WHEN duplicate_of IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY node_id, k) AS has FROM
-  (SELECT 's-' || {_bucket()} AS node_id, heading_path[1] AS k, duplicate_of FROM {_SECTIONS} WHERE kind IN ('body', 'preface', 'skill_test'))) WHERE duplicate_of IS NULL OR has = 0 GROUP BY node_id""")
+  (SELECT 's-' || {_bucket()} AS node_id, heading_path[1] AS k, CASE WHEN duplicate_of <> id AND duplicate_of IN (SELECT id FROM sections WHERE kind IN ('body', 'preface', 'skill_test')) THEN duplicate_of END AS duplicate_of FROM {_SECTIONS} WHERE kind IN ('body', 'preface', 'skill_test'))) WHERE duplicate_of IS NULL OR has = 0 GROUP BY node_id""")
 def unique_members(spark: SparkSession, base: str) -> DataFrame:
     rows = _assigned(spark, base, duplicate_of="duplicate_of", k=F.coalesce(F.try_element_at("heading_path", F.lit(1)), F.lit("\x00")))
-    return merge.unique_members(rows, ["node_id", "k"]).groupBy("node_id").agg(F.count("*").alias("members"))
+    return merge.unique_members(merge.true_links(rows), ["node_id", "k"]).groupBy("node_id").agg(F.count("*").alias("members"))
 
 
 @query()
 def required_facts(spark: SparkSession, base: str) -> DataFrame:
     """The facts that the merged text of each group of a heading must keep, among members that are no duplicates."""
     rows = _assigned(spark, base, text="text", duplicate_of="duplicate_of", chapter=F.slice(_path(), 1, 1)).where(F.col("text").isNotNull()).withColumn("heading", T.heading_path_key(F.col("chapter")))
-    found = merge.required_token_rows(rows, ["node_id", "heading"])
+    found = merge.required_token_rows(merge.true_links(rows), ["node_id", "heading"])
     return found.groupBy("node_id", "heading").agg(F.count("*").alias("facts"))
 
 

@@ -32,6 +32,8 @@ def test_query(spark, data, engine, name):
     if sql:
         want = [tuple(plain(v) for v in r) for r in engine.execute(f"select {', '.join(columns)} from ({sql})").fetchall()]
         assert sorted(rows, key=str) == sorted(want, key=str)
+    else:
+        assert rows and len(set(map(str, rows))) == len(rows)
 
 
 def test_core_stands_alone():
