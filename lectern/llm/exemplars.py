@@ -1,7 +1,8 @@
 """Labelled exemplars of residue: the default of the parameter of ``residue.residue``.
 
 Written from what web servers, browsers, page templates and language runtimes
-commonly say, not from any corpus. A deployment passes its own labelled rows.
+commonly say; the README says what its author had seen. A deployment passes its
+own labelled rows.
 A Chinese exemplar stands in both scripts, character by character; the pairs
 also say which characters of the two scripts are one.
 """
