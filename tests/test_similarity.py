@@ -3,7 +3,10 @@ import itertools
 import random
 import struct
 
-from lectern.operators.similarity import SEED, Signer, dominant_stem_pair, duplicate_components, normalized, novel_paragraphs, overlap_pairs
+import numpy as np
+import pytest
+
+from lectern.operators.similarity import SEED, Signer, _sharing, dominant_stem_pair, duplicate_components, normalized, novel_paragraphs, overlap_pairs
 
 
 def plain_signature(text):
@@ -37,6 +40,31 @@ def test_signatures():
     assert signer.of("x" * 39) is None and signer.of("，" * 50) is None and signer.of(None) is None
 
 
+def test_signatures_of_many_texts():
+    signer = Signer()
+    rows = [t for _, t in texts()] + ["，" * 50, "多" * 60, "".join(chr(0x4E00 + i) for i in range(8000)), "a\ud800" * 30] + ["".join(chr(0x4E00 + i) for i in range(k, k + 6000)) for k in (0, 5000)]
+    for a, b in zip(signer.many(rows), map(signer.of, rows), strict=True):
+        assert (a is None) == (b is None) and (a is None or list(a) == list(b))
+    assert signer.many([]) == []
+
+
+def test_candidates_are_all_pairs_that_can_agree_and_few_others(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(-(2**31), 2**31, (60, 128))
+    rows = [(i, base[i]) for i in range(60)]
+    for i in range(60):  # rows 100 to 129 agree with theirs in 71 slots, the others in 32: bands of two slots would often meet there
+        other, kept = rng.integers(-(2**31), 2**31, 128), rng.permutation(128)[: 71 if i < 30 else 32]
+        other[kept] = base[i][kept]
+        rows.append((100 + i, other))
+    signed = spark.createDataFrame([(i, [int(x) for x in v]) for i, v in rows], "no bigint, signature array<int>")
+    found = {(r.x, r.y) for r in _sharing(signed, 0.55).collect()}
+    assert {(i, 100 + i) for i in range(30)} <= found and len(found) <= 35
+    close = spark.createDataFrame([(0, [1] * 128), (1, [2 if i % 11 == 0 else 1 for i in range(128)]), (2, [2 if i % 7 == 0 else 1 for i in range(128)])], "no bigint, signature array<int>")
+    assert {(r.x, r.y) for r in _sharing(close, 0.9).collect()} == {(0, 1)}
+    with pytest.raises(ValueError, match="half"):
+        _sharing(signed, 0.5)
+
+
 def test_pairs_are_those_of_all_comparisons(spark):
     rows = texts()
     docs = spark.createDataFrame([(i, t, f"st{n % 3}", len(t or "")) for n, (i, t) in enumerate(rows)], "id string, text string, source_stem string, char_count int")
