@@ -208,14 +208,16 @@ def unit_ids(docs: DataFrame, ranks: dict[bytes, int], most: int = MOST_UNITS) -
     units = texts.mapInArrow(counted, "unit string, n bigint").where(F.octet_length("unit") <= UNIT_BYTES).groupBy("unit").agg(F.sum("n").alias("n"))
     frequent = materialize(units.orderBy(F.desc("n"), "unit").limit(most).select("unit"), "units").repartition(docs.sparkSession.sparkContext.defaultParallelism)
     merged = frequent.select("unit", fold_merges(F.col("unit"), ranks).alias("ids"))
-    # the plan holds the ranks as literals, and the driver keeps a plan's description for every execution
-    conf = docs.sparkSession.conf
-    described = conf.get("spark.sql.maxPlanStringLength")
-    conf.set("spark.sql.maxPlanStringLength", "10000")
+    # the plan holds the ranks as literals: the driver keeps a plan's description for every execution, and its nodes' for every change of the plan
+    conf, short = docs.sparkSession.conf, {"spark.sql.maxPlanStringLength": "10000", "spark.sql.debug.maxToStringFields": "0"}
+    described = {name: conf.get(name) for name in short}
     try:
+        for name, value in short.items():
+            conf.set(name, value)
         found = merged.toArrow()
     finally:
-        conf.set("spark.sql.maxPlanStringLength", described)
+        for name, value in described.items():
+            conf.set(name, value)
     values = found.column("ids").combine_chunks()
     flat, offsets = values.values.to_numpy(), values.offsets.to_numpy()
     return {unit: flat[a:b].astype("<i4").tobytes() for unit, a, b in zip(found.column("unit").to_pylist(), offsets, offsets[1:], strict=False)}

@@ -44,6 +44,19 @@ def test_fold_equals_merge(spark):
     assert {r.unit: r.ids for r in rows.collect()} == {u: tokens.merge(u.encode(), RANKS) for u in units}
 
 
+def test_driver_keeps_no_ranks_in_descriptions(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    assert tokens.unit_ids(spark.createDataFrame([("plain words",)], "text string"), RANKS)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList()
+    assert runs.size() > before
+    for i in range(before, runs.size()):
+        nodes = store.planGraph(runs.apply(i).executionId()).allNodes()
+        assert all(len(nodes.apply(k).desc()) < 20_000 for k in range(nodes.size()))
+    assert spark.conf.get("spark.sql.debug.maxToStringFields") == "25"
+
+
 def test_encode_and_decode(spark, reference):
     texts = [None, "", *odd_texts()[::7], "<|endoftext|>", "句子。" * 20_000, "q" * 5000]
     df = spark.createDataFrame([(n, t, "x", "y", 3) for n, t in enumerate(texts)], "doc_id bigint, text string, ids string, unit string, n int")
