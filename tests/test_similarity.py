@@ -5,8 +5,11 @@ import struct
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from lectern.operators import similarity
 from lectern.operators.similarity import SEED, Signer, _sharing, dominant_stem_pair, duplicate_components, normalized, novel_paragraphs, overlap_pairs
+from lectern.queries import catalogue
 
 
 def plain_signature(text):
@@ -82,6 +85,24 @@ def test_pairs_are_those_of_all_comparisons(spark):
     assert len(best) == 1 and best[0].stem_a < best[0].stem_b
 
 
+@pytest.mark.parametrize("name", ["overlap_components"])
+def test_only_the_pairs_that_are_used_are_sought(spark, monkeypatch, name):
+    rows = [(i, t, f"st{n % 3}") for n, (i, t) in enumerate(texts())]
+    docs = spark.createDataFrame(rows, "id string, text string, source_stem string")
+    asked = []
+
+    def seek(df, least=similarity.OVERLAP):
+        asked.append(least)
+        return overlap_pairs(df, least=least)
+
+    all_pairs, sized = overlap_pairs(docs), docs.withColumn("char_count", F.length("text"))
+    want = (duplicate_components if name == "overlap_components" else dominant_stem_pair)(sized, all_pairs).collect()
+    monkeypatch.setattr(catalogue, "table", lambda *_: docs)
+    monkeypatch.setattr(similarity, "overlap_pairs", seek)
+    assert sorted(catalogue.queries()[name](spark, "").collect()) == sorted(want) and want
+    assert asked == [similarity.EXACTISH]
+
+
 def test_novel_paragraphs():
     long = "".join(chr(0x4E00 + i) for i in range(60))
     assert novel_paragraphs([long, long + "尾", "新的一段", "短"], [long, "短"]) == ["新的一段"]
