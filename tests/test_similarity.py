@@ -85,7 +85,7 @@ def test_pairs_are_those_of_all_comparisons(spark):
     assert len(best) == 1 and best[0].stem_a < best[0].stem_b
 
 
-@pytest.mark.parametrize("name", ["overlap_components"])
+@pytest.mark.parametrize("name", ["overlap_components", "dominant_stem_pair"])
 def test_only_the_pairs_that_are_used_are_sought(spark, monkeypatch, name):
     rows = [(i, t, f"st{n % 3}") for n, (i, t) in enumerate(texts())]
     docs = spark.createDataFrame(rows, "id string, text string, source_stem string")
