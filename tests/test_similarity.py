@@ -1,7 +1,9 @@
 import hashlib
 import itertools
 import random
+import re
 import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -103,6 +105,36 @@ def test_only_the_pairs_that_are_used_are_sought(spark, monkeypatch, name):
     assert asked == [similarity.EXACTISH]
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_dominant_stems_are_those_of_all_comparisons(spark, seed):
+    """Copies, near copies and punctuation over many stems: each class's rows count with all others of it, and with all of a near class."""
+    rng = random.Random(seed)
+    words = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n)) for n in (39, 39, 60, 90, 12)]
+    forms = [f for w in words for f in (w, w + "，。", w + "尾", f"_{w}", w[:20] + "。" + w[20:])]
+    rows = [(f"r{i:03d}", rng.choice(forms), f"st{rng.randrange(6)}") for i in range(70)] + [("x1", None, "st0"), ("x2", "", "st1"), ("x3", "。", "st2")]
+    signer = Signer()
+    signs, bare = {i: signer.of(t) for i, t, _ in rows}, {i: None if t is None else re.sub(r"[^\w]+", "", t) for i, t, _ in rows}
+    count = Counter()
+    for (a, t, s), (b, u, v) in itertools.combinations(rows, 2):
+        near = signs[a] is not None and signs[b] is not None and (signs[a] == signs[b]).mean() >= 0.9
+        if s != v and t is not None and u is not None and (near or bare[a] == bare[b]):
+            count[min(s, v), max(s, v)] += 1
+    stems, most = max(count.items(), key=lambda kv: (kv[1], kv[0]))
+    docs = spark.createDataFrame(rows, "id string, text string, source_stem string")
+    for least in (0.55, 0.9):
+        got = dominant_stem_pair(docs.unionByName(docs), overlap_pairs(docs, least=least)).collect()
+        assert [tuple(r) for r in got] == [(*stems, most)]
+
+
+def test_a_class_whose_first_row_is_short_has_its_links(spark):
+    word = "".join(chr(0x4E00 + 7 * i) for i in range(39))
+    rows = [("a", word, "st1"), ("b", word + "。", "st2"), ("c", word + "尾", "st3"), ("d", word + "尾。", "st2"), ("e", word + "尾！", "st3")]
+    docs = spark.createDataFrame(rows, "id string, text string, source_stem string")
+    found = overlap_pairs(docs, least=0.9).cache()
+    assert {(r.a, r.b) for r in found.collect()} == {("a", "b"), ("b", "c"), ("c", "d"), ("c", "e")}
+    assert [tuple(r) for r in dominant_stem_pair(docs, found).collect()] == [("st2", "st3", 4)]  # b and d with c and e
+
+
 def test_novel_paragraphs():
     long = "".join(chr(0x4E00 + i) for i in range(60))
     assert novel_paragraphs([long, long + "尾", "新的一段", "短"], [long, "短"]) == ["新的一段"]
